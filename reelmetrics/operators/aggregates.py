@@ -205,9 +205,9 @@ def spam_by_video(comments: DataFrame, key: str = "videoId", limit: int | None =
 
 def top_signals(comments: DataFrame, limit: int = SIGNALS_TOP) -> DataFrame:
     """Most frequent spam signals."""
-    signal = F.trim(F.explode(F.split("spam_signals", r"\|")))
     return (
-        comments.select(signal.alias("signal"))
+        comments.select(F.explode(F.split("spam_signals", r"\|")).alias("signal"))
+        .select(F.trim("signal").alias("signal"))
         .where(~F.lower("signal").isin(*IGNORED_SIGNALS))
         .groupBy("signal").agg(F.count("*").alias("count"))
         .orderBy(F.desc("count"), F.asc("signal"))

@@ -144,11 +144,11 @@ def _across_blocks(queries: DataFrame, data: DataFrame, threshold: float) -> Dat
         degree = close @ d["n"].to_numpy(np.int64)
         return pd.DataFrame({"vkey": q["vkey"], "degree": degree})[degree > 0]
 
-    visits = queries.select("chunk", "t_cell", "t_sub").distinct()
+    keys = ["chunk", "t_cell", "t_sub"]
+    visits = queries.select(*[F.col(k).alias(k) for k in keys]).distinct()
     shipped = data.select(
         "vkey", "n", "unit", "sig", F.col("cell").alias("t_cell"), F.col("sub").alias("t_sub")
     ).join(visits, ["t_cell", "t_sub"])
-    keys = ["chunk", "t_cell", "t_sub"]
     found = queries.groupBy(*keys).cogroup(shipped.groupBy(*keys)).applyInPandas(count, COUNT)
     return found.groupBy("vkey").agg(F.sum("degree").alias("degree"))
 
