@@ -41,11 +41,9 @@ def phrase_weights(
     words = tokens(F.coalesce(text_column, F.lit("")), stop_words)
     terms = docs.select(id_column, words.alias("_w")).select(id_column, F.explode(phrases(F.col("_w"))).alias("phrase"))
     tf = terms.groupBy(id_column, "phrase").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("phrase").agg(F.count("*").alias("n"))
+    df = tf.groupBy("phrase").agg(F.count("*").alias("df"))
     total = docs.count()
-    weighted = lookup_join(
-        tf, df.select("phrase", F.col("n").alias("df")), "phrase", weights=df, spread=[id_column]
-    )
+    weighted = lookup_join(tf, df, "phrase", "df", [id_column])
     idf = F.ln((F.lit(1.0) + F.lit(total)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return weighted.withColumn("score", F.col("tf") * idf)
 

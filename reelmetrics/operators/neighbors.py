@@ -226,7 +226,7 @@ def near_duplicates(
         crowded = sizes.where(F.col("n") > block_rows)
         split = crowded.select("cell", F.ceil(F.col("n") / block_rows).alias("subs"))
         blocks = (
-            lookup_join(members, split, "cell", weights=crowded, spread=["vkey"])
+            lookup_join(members, split, "cell", "subs", ["vkey"])
             .withColumn("subs", F.coalesce("subs", F.lit(1).cast("bigint")))
             .withColumn("sub", spread_out)
         )
@@ -257,16 +257,15 @@ def near_duplicates(
         .groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
         .withColumn("core", F.col("degree") + F.col("n") - 1 >= need)
     )
-    marked = degrees.where("core").select("vkey")
+    marked = degrees.where("core").select("vkey", "n")
     if min_group > 2:
         degrees = degrees.checkpoint()
-        marked = degrees.where("core").select("vkey")
-        core_rows = blocks.join(marked, "vkey", "left_semi")
-        fringe = blocks.join(degrees.where("not core and degree > 0").select("vkey"), "vkey", "left_semi")
+        marked = degrees.where("core").select("vkey", "n")
+        core_rows = blocks.join(marked.select("vkey"), "vkey", "left_semi")
+        outer = degrees.where("not core and degree > 0").select("vkey")
+        fringe = blocks.join(outer, "vkey", "left_semi")
         touched = _across_blocks(visits(fringe, True), core_rows, threshold).select("vkey")
-        marked = marked.unionByName(touched).distinct()
-    marks = marked.withColumn("_mark", F.lit(True))
-    found = lookup_join(
-        keyed.select(id_column, "vkey"), marks, "vkey", weights=distinct.select("vkey", "n"), spread=[id_column]
-    )
-    return found.where("_mark").select(id_column)
+        marked = marked.unionByName(degrees.join(touched, "vkey", "left_semi").select("vkey", "n"))
+    marks = marked.withColumnRenamed("n", "_copies")
+    found = lookup_join(keyed.select(id_column, "vkey"), marks, "vkey", "_copies", [id_column])
+    return found.where(F.col("_copies").isNotNull()).select(id_column)

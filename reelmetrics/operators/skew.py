@@ -41,24 +41,26 @@ def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: str,
-    weights: DataFrame | None = None,
+    weight: str | None = None,
     spread: list[str] | None = None,
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """``left`` with the columns of ``right`` (unique on ``on``), every left row kept once.
 
-    ``weights`` has (on, ``n``), the frequency of keys in ``left``; it is counted when not
-    supplied. ``spread`` names left columns that vary between rows of one key.
+    ``weight`` names the column of ``right`` that tells how often its key occurs in ``left``;
+    without it the keys of ``left`` are counted. ``spread`` names left columns that vary
+    between rows of one key.
     """
     if fits_broadcast(right):
         return left.join(right, on, "left")
-    if weights is None:
-        weights = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("n"))
     extra = [c for c in right.columns if c != on]
-    hot = weights.select(on, "n").orderBy(F.desc("n"), on).limit(hot_keys).select(on)
-    hot_rows = hot.join(
-        F.broadcast(right.join(F.broadcast(hot), on, "left_semi")), on, "left"
-    ).select(on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in extra])
+    if weight is not None:
+        hot = right.orderBy(F.desc(weight), on).limit(hot_keys)
+    else:
+        counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
+        keys = counts.orderBy(F.desc("_n"), on).limit(hot_keys).select(on)
+        hot = keys.join(F.broadcast(right.join(F.broadcast(keys), on, "left_semi")), on, "left")
+    hot_rows = hot.select(on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in extra])
     apart = F.col(on).isNull() | F.col("_hot").isNotNull()
     marked = left.join(F.broadcast(hot_rows), on, "left").withColumn(
         "_salt", F.when(apart, salt(spread or left.columns) + 1).otherwise(F.lit(0))

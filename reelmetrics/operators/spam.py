@@ -38,16 +38,15 @@ LABELS = {"spam": "spam", "suspect": "suspeito", "ok": "legítimo"}
 
 def text_digest(c: Column) -> Column:
     """32-byte digest of the dedup key; NULL for blank text."""
-    key = T.dedup_key(c)
-    return F.when(F.length(key) > 0, F.unhex(F.sha2(key, 256)))
+    return F.when(~T.is_blank(c), F.unhex(F.sha2(T.dedup_key(c), 256)))
 
 
 def duplicate_texts(comments: DataFrame, copies: int = COPIES) -> DataFrame:
     """Digest and number of copies of each non-blank text that occurs repeatedly."""
-    digests = comments.select(text_digest(F.coalesce("text", F.lit(""))).alias("_digest"))
+    written = comments.where(~T.is_blank(F.coalesce("text", F.lit(""))))
     return (
-        digests.where(F.col("_digest").isNotNull())
-        .groupBy("_digest").agg(F.count("*").alias("n")).where(F.col("n") >= copies)
+        written.groupBy(F.unhex(F.sha2(T.dedup_key(F.col("text")), 256)).alias("_digest"))
+        .agg(F.count("*").alias("n")).where(F.col("n") >= copies)
     )
 
 
@@ -103,16 +102,9 @@ def flagged(comments: DataFrame, id_column: str = "commentId") -> DataFrame:
     copies = duplicate_texts(df)
     rules = df.withColumns({f"_is_{n}": f for n, f in text_flags(F.col("text")).items()})
     rules = rules.withColumns({"_author": F.col("author"), "_digest": text_digest(F.col("text"))})
-    with_copies = lookup_join(
-        rules, copies.withColumnRenamed("n", "_copies"), "_digest", weights=copies, spread=[id_column]
-    )
-    with_both = lookup_join(
-        with_copies,
-        authors.select("_author", F.col("n").alias("_comments"), F.col("zero").alias("_zero")),
-        "_author",
-        weights=authors,
-        spread=[id_column],
-    )
+    with_copies = lookup_join(rules, copies.withColumnRenamed("n", "_copies"), "_digest", "_copies", [id_column])
+    authors = authors.withColumnsRenamed({"n": "_comments", "zero": "_zero"})
+    with_both = lookup_join(with_copies, authors, "_author", "_comments", [id_column])
     return with_both.select(
         *df.columns,
         *[f"_is_{n}" for n in text_flags(F.col("text"))],
