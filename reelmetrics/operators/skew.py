@@ -32,6 +32,24 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned_bytes(df) <= broadcast_limit(df)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Estimated bytes of all inputs of the plan, without Spark's pessimism about joins."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def widen(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows spread over all cores when the input has too few splits for them.
+
+    For work that is heavy per row. An input of at least one full split per core stays as it
+    is, so nothing is shuffled at scale; what is shuffled is below that size.
+    """
+    spark = df.sparkSession
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    cores = spark.sparkContext.defaultParallelism
+    return df if input_bytes(df) >= cores * split else df.repartition(cores, *keys)
+
+
 def salt(columns: list[str], buckets: int = 1 << 16) -> Column:
     """A spread value that a re-run task computes again exactly."""
     return F.pmod(F.xxhash64(*columns), F.lit(buckets))
@@ -44,14 +62,16 @@ def lookup_join(
     weight: str | None = None,
     spread: list[str] | None = None,
     hot_keys: int = HOT_KEYS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``left`` with the columns of ``right`` (unique on ``on``), every left row kept once.
 
     ``weight`` names the column of ``right`` that tells how often its key occurs in ``left``;
     without it the keys of ``left`` are counted. ``spread`` names left columns that vary
-    between rows of one key.
+    between rows of one key. ``small=False`` is for a ``right`` whose size Catalyst cannot
+    estimate, such as exploded rows.
     """
-    if fits_broadcast(right):
+    if fits_broadcast(right) if small is None else small:
         return left.join(right, on, "left")
     extra = [c for c in right.columns if c != on]
     if weight is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.functions import text as T
 from reelmetrics.functions.coerce import numeric_columns
-from reelmetrics.operators.skew import lookup_join
+from reelmetrics.operators.skew import lookup_join, widen
 
 # Signal weights in output order, thresholds and labels.
 WEIGHTS = {
@@ -37,17 +37,18 @@ LABELS = {"spam": "spam", "suspect": "suspeito", "ok": "legítimo"}
 
 
 def text_digest(c: Column) -> Column:
-    """32-byte digest of the dedup key; NULL for blank text."""
-    return F.when(~T.is_blank(c), F.unhex(F.sha2(T.dedup_key(c), 256)))
+    """32-byte digest of the dedup key.
+
+    Declared never NULL: a join on it then infers no filter that would compute it once more.
+    """
+    return F.coalesce(F.unhex(F.sha2(T.dedup_key(c), 256)), F.lit(bytearray()))
 
 
 def duplicate_texts(comments: DataFrame, copies: int = COPIES) -> DataFrame:
     """Digest and number of copies of each non-blank text that occurs repeatedly."""
     written = comments.where(~T.is_blank(F.coalesce("text", F.lit(""))))
-    return (
-        written.groupBy(F.unhex(F.sha2(T.dedup_key(F.col("text")), 256)).alias("_digest"))
-        .agg(F.count("*").alias("n")).where(F.col("n") >= copies)
-    )
+    digests = written.groupBy(text_digest(F.col("text")).alias("_digest"))
+    return digests.agg(F.count("*").alias("n")).where(F.col("n") >= copies)
 
 
 def busy_authors(comments: DataFrame, many: int = AUTHOR_MANY) -> DataFrame:
@@ -99,9 +100,10 @@ def flagged(comments: DataFrame, id_column: str = "commentId") -> DataFrame:
         {c: F.coalesce(F.col(c), F.lit("")) for c in ("text", "author")}
     )
     authors = busy_authors(df)
+    df = widen(df, id_column)
     copies = duplicate_texts(df)
     rules = df.withColumns({f"_is_{n}": f for n, f in text_flags(F.col("text")).items()})
-    rules = rules.withColumns({"_author": F.col("author"), "_digest": text_digest(F.col("text"))})
+    rules = rules.withColumns({"_author": F.col("author"), "_digest": F.when(~T.is_blank(F.col("text")), text_digest(F.col("text")))})
     with_copies = lookup_join(rules, copies.withColumnRenamed("n", "_copies"), "_digest", "_copies", [id_column])
     authors = authors.withColumnsRenamed({"n": "_comments", "zero": "_zero"})
     with_both = lookup_join(with_copies, authors, "_author", "_comments", [id_column])

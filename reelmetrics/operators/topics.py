@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
-from reelmetrics.operators.keyphrases import phrases, tokens
+from reelmetrics.operators.keyphrases import exploded, phrases, tokens
 
 # Names of the noise topic and of a topic without terms, k-means settings.
 NOISE_TOPIC = -1
@@ -78,7 +78,7 @@ def topic_terms(
     terms per topic and f the term's frequency over all topics.
     """
     words = tokens(F.coalesce(text_column, F.lit("")), stop_words)
-    terms = docs.where(F.col("topic_id") != NOISE_TOPIC).select("topic_id", F.explode(phrases(words)).alias("term"))
+    terms = exploded(docs.where(F.col("topic_id") != NOISE_TOPIC), phrases(words), "term", ["topic_id"])
     tf = terms.groupBy("topic_id", "term").agg(F.count("*").alias("tf"))
     freq = tf.groupBy("term").agg(F.sum("tf").alias("f"))
     mean = tf.agg((F.sum("tf") / F.count_distinct("topic_id")).alias("a")).first()["a"] or 0.0
