@@ -150,7 +150,7 @@ def topic_clusters(spark, d):
         table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text"), "vec_id", "left"
     )
     topics = topic_jobs.assign_topics(vectors, "embedding", k=8, max_distance=1.0)
-    named = topic_jobs.with_representatives(topics, topic_jobs.topic_terms(topics, "text"))
+    named = topic_jobs.with_representatives(topics, topic_jobs.topic_terms(topics, "text"), "vec_id")
     return topic_overview(named)
 
 
@@ -178,7 +178,7 @@ def small_topics(spark, d):
     rows = vectors.join(titles, "videoId", "left")
     k = topic_jobs.small_k(2, vectors.count())
     topics = topic_jobs.assign_topics(rows, "embedding", k, restarts=topic_jobs.RESTARTS)
-    return topic_overview(topic_jobs.with_representatives(topics, topic_jobs.title_representatives(topics)))
+    return topic_overview(topic_jobs.with_representatives(topics, topic_jobs.title_representatives(topics), "videoId"))
 
 
 @query(

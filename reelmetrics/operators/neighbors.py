@@ -146,9 +146,8 @@ def _across_blocks(queries: DataFrame, data: DataFrame, threshold: float) -> Dat
 
     keys = ["chunk", "t_cell", "t_sub"]
     visits = queries.select(*[F.col(k).alias(k) for k in keys]).distinct()
-    shipped = data.select(
-        "vkey", "n", "unit", "sig", F.col("cell").alias("t_cell"), F.col("sub").alias("t_sub")
-    ).join(visits, ["t_cell", "t_sub"])
+    names = {"vkey": "vkey", "n": "n", "unit": "unit", "sig": "sig", "cell": "t_cell", "sub": "t_sub"}
+    shipped = data.select(*[F.col(c).alias(name) for c, name in names.items()]).join(visits, ["t_cell", "t_sub"])
     found = queries.groupBy(*keys).cogroup(shipped.groupBy(*keys)).applyInPandas(count, COUNT)
     return found.groupBy("vkey").agg(F.sum("degree").alias("degree"))
 
@@ -215,12 +214,14 @@ def near_duplicates(
         for r in sizes.collect():  # one row per pivot, MAX_PIVOTS at most
             radius[r["cell"]] = r["radius"]
             splits.append((r["cell"], math.ceil(r["rows"] / block_rows)))
+        alone = sum(parts for _, parts in splits) == 1  # one block holds everything
         subs = F.broadcast(spark.createDataFrame(splits, "cell bigint, subs bigint"))
         blocks = members.join(subs, "cell").withColumn("sub", spread_out)
     else:
         first = distinct.select(F.size("vec").alias("dim")).first()
         if first is None:
             return df.select(id_column).limit(0)
+        alone = False
         members = _by_band(distinct, first["dim"], bands, lsh_bits(threshold, bands)).checkpoint()
         sizes = members.groupBy("cell").agg(F.count("*").alias("n"))
         crowded = sizes.where(F.col("n") > block_rows)
@@ -249,14 +250,13 @@ def near_duplicates(
         inner = counted.groupBy("vkey").agg(F.sum("degree").alias("degree"))
         counted = blocks.join(inner, "vkey")
     counted = counted.checkpoint()
-    still_open = counted.where(F.col("degree") + F.col("n") - 1 < need)
-    more = _across_blocks(visits(still_open, False), blocks, threshold)
-    known = counted.select("vkey", "n", "degree").distinct()
-    degrees = (
-        known.unionByName(more.select("vkey", F.lit(0).cast("bigint").alias("n"), "degree"))
-        .groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
-        .withColumn("core", F.col("degree") + F.col("n") - 1 >= need)
-    )
+    enough = F.col("degree") + F.col("n") - 1 >= need
+    degrees = counted.select("vkey", "n", "degree").distinct()
+    if not alone:
+        more = _across_blocks(visits(counted.where(~enough), False), blocks, threshold)
+        more = more.select("vkey", F.lit(0).cast("bigint").alias("n"), "degree")
+        degrees = degrees.unionByName(more).groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
+    degrees = degrees.withColumn("core", enough)
     marked = degrees.where("core").select("vkey", "n")
     if min_group > 2:
         degrees = degrees.checkpoint()

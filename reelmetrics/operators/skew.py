@@ -18,18 +18,17 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's automatic broadcast threshold in bytes, -1 when switched off."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    if text.startswith("-"):
-        return -1
-    units = {"t": 2**40, "g": 2**30, "m": 2**20, "k": 2**10, "b": 1}
-    digits = text.rstrip("bkmgt")
-    return int(float(digits) * units.get(text[len(digits) : len(digits) + 1], 1))
+def _setting_bytes(df: DataFrame, name: str) -> int:
+    """A size setting of the session in bytes; negative when switched off."""
+    text = df.sparkSession.conf.get(name).strip().lower().removesuffix("b")
+    units = {"t": 2**40, "g": 2**30, "m": 2**20, "k": 2**10}
+    unit = units.get(text[-1:], 1)
+    return int(text.rstrip("tgmk")) * unit
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    return planned_bytes(df) <= broadcast_limit(df)
+    """Whether Spark would plan ``df`` as a broadcast side by its automatic threshold."""
+    return planned_bytes(df) <= _setting_bytes(df, "spark.sql.autoBroadcastJoinThreshold")
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -44,10 +43,9 @@ def widen(df: DataFrame, *keys: str) -> DataFrame:
     For work that is heavy per row. An input of at least one full split per core stays as it
     is, so nothing is shuffled at scale; what is shuffled is below that size.
     """
-    spark = df.sparkSession
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    cores = spark.sparkContext.defaultParallelism
-    return df if input_bytes(df) >= cores * split else df.repartition(cores, *keys)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    enough = cores * _setting_bytes(df, "spark.sql.files.maxPartitionBytes")
+    return df if input_bytes(df) >= enough else df.repartition(cores, *keys)
 
 
 def salt(columns: list[str], buckets: int = 1 << 16) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
 from reelmetrics.operators.keyphrases import exploded, phrases, tokens
+from reelmetrics.operators.skew import lookup_join
 
 # Names of the noise topic and of a topic without terms, k-means settings.
 NOISE_TOPIC = -1
@@ -59,11 +61,10 @@ def assign_topics(
         data.unpersist()
     out = model.transform(_features(df, vector_column))
     if max_distance is not None:
-        centres = [[float(x) for x in c] for c in model.clusterCenters()]
-        table = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres])
-        gap = F.zip_with(
-            vector_to_array("_features"), F.element_at(table, F.col("topic_id") + 1), lambda a, b: (a - b) * (a - b)
-        )
+        centres = np.stack(model.clusterCenters())
+        dim = centres.shape[1]
+        centre = F.slice(F.lit(centres.ravel()), F.col("topic_id") * dim + 1, F.lit(dim))
+        gap = F.zip_with(vector_to_array("_features"), centre, lambda a, b: (a - b) * (a - b))
         far = F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)) > max_distance
         out = out.withColumn("topic_id", F.when(far, F.lit(NOISE_TOPIC)).otherwise(F.col("topic_id")))
     return out.drop("_features")
@@ -107,6 +108,6 @@ def title_representatives(df: DataFrame, title_column: str = "title", order: str
     return topics.join(names, "topic_id", "left").withColumn("topic_repr", F.coalesce("topic_repr", missing))
 
 
-def with_representatives(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Names of a bounded number of topics attached to the rows."""
-    return df.join(names, "topic_id", "left")
+def with_representatives(df: DataFrame, names: DataFrame, id_column: str) -> DataFrame:
+    """Rows with the name of their topic; one topic may hold most of the rows."""
+    return lookup_join(df, names, "topic_id", spread=[id_column])

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from reelmetrics.operators.dedup import keep_first
+from reelmetrics.operators.skew import fits_broadcast
 from reelmetrics.sources.tables import delete, exists, subfolders
 
 KEEP_VERSIONS = 2
@@ -29,13 +30,16 @@ def merge_by_key(old: DataFrame, new: DataFrame, key: str, order: str | None = N
 
     Columns the batch supplies are overwritten, also by NULL; others keep their value. NULL
     keys are skipped; of equal keys in the batch the one with the largest ``order`` counts.
+
+    A batch below the broadcast threshold leaves the stored rows where they are: they are
+    matched in place and only the new keys are appended. Larger ones take a full outer join.
     """
     later = [F.desc_nulls_last(order)] if order else [F.asc(key)]
     batch = keep_first(new.where(F.col(key).isNotNull()), [key], later)
     names = [*old.columns, *[c for c in batch.columns if c not in old.columns]]
-    o = old.withColumn("_old", F.lit(True)).alias("o")
-    n = batch.withColumn("_new", F.lit(True)).alias("n")
-    both = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
+    stored = old.withColumn("_old", F.lit(True)).alias("o")
+    fresh = batch.withColumn("_new", F.lit(True)).alias("n")
+    on = F.col(f"o.{key}") == F.col(f"n.{key}")
 
     def pick(name: str):
         if name == key:
@@ -48,15 +52,20 @@ def merge_by_key(old: DataFrame, new: DataFrame, key: str, order: str | None = N
 
     changed = F.lit(False)
     for name in batch.columns:
-        if name == key:
-            continue
-        before = F.col(f"o.{name}") if name in old.columns else F.lit(None)
-        changed = changed | ~F.col(f"n.{name}").eqNullSafe(before)
-    hit = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-    return both.select(
-        *[pick(c) for c in names],
-        (F.col("_old").isNull()).alias("_inserted"),
-        (hit & changed).alias("_updated"),
+        if name != key:
+            before = F.col(f"o.{name}") if name in old.columns else F.lit(None)
+            changed = changed | ~F.col(f"n.{name}").eqNullSafe(before)
+    matched = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    flags = [F.col("_old").isNull().alias("_inserted"), (matched & changed).alias("_updated")]
+    if not fits_broadcast(new):
+        return stored.join(fresh, on, "full_outer").select(*[pick(c) for c in names], *flags)
+
+    kept = stored.join(F.broadcast(fresh), on, "left").select(*[pick(c) for c in names], *flags)
+    keys = batch.select(F.col(key).alias("_key"))
+    known = old.join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi").select(F.col(key).alias("_key"))
+    added = batch.join(F.broadcast(known), F.col(key) == F.col("_key"), "left_anti")
+    return kept.unionByName(
+        added.withColumns({"_inserted": F.lit(True), "_updated": F.lit(False)}), allowMissingColumns=True
     )
 
 
