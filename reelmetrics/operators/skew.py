@@ -40,7 +40,7 @@ def input_bytes(df: DataFrame) -> int:
 def widen(df: DataFrame, *keys: str) -> DataFrame:
     """Rows spread over all cores when the input has too few splits for them.
 
-    For work that is heavy per row. An input of at least one full split per core stays as it
+    For work that is heavy per row; without keys rows are dealt out evenly. An input of at least one full split per core stays as it
     is, so nothing is shuffled at scale; what is shuffled is below that size.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism

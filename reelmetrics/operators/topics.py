@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -10,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
 from reelmetrics.operators.keyphrases import exploded, phrases, tokens
-from reelmetrics.operators.skew import lookup_join
+from reelmetrics.operators.skew import lookup_join, widen
+from reelmetrics.session import shared_folder
 
 # Names of the noise topic and of a topic without terms, k-means settings.
 NOISE_TOPIC = -1
@@ -20,6 +24,8 @@ SEED = 42
 RESTARTS = 10
 TITLE_WORDS = 3
 
+PARALLEL_STARTS = 4
+
 
 def _features(df: DataFrame, vector_column: str) -> DataFrame:
     """L2-normalised ML vectors beside the other columns."""
@@ -30,14 +36,19 @@ def _features(df: DataFrame, vector_column: str) -> DataFrame:
 
 
 def _fit(df: DataFrame, k: int, restarts: int) -> KMeansModel:
-    """The model with the lowest training cost of several seeded starts."""
-    models = [KMeans(k=k, seed=SEED + i, featuresCol="_features", predictionCol="topic_id").fit(df) for i in range(restarts)]
+    """The model with the lowest training cost of several seeded starts, some at a time."""
+
+    def start(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=SEED + i, featuresCol="_features", predictionCol="topic_id").fit(df)
+
+    with ThreadPool(min(restarts, PARALLEL_STARTS)) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(start), range(restarts))
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def choose_k(df: DataFrame, vector_column: str, candidates: tuple[int, ...]) -> int:
     """The candidate with the best silhouette (computed by Spark in one pass per candidate)."""
-    data = _features(df, vector_column).persist()
+    data = _features(df.select(vector_column), vector_column).select("_features").persist()
     score = ClusteringEvaluator(featuresCol="_features", predictionCol="topic_id").evaluate
     try:
         return max(candidates, key=lambda k: score(_fit(data, k, 1).transform(data)))
@@ -54,7 +65,7 @@ def assign_topics(
     df: DataFrame, vector_column: str, k: int, restarts: int = 1, max_distance: float | None = None
 ) -> DataFrame:
     """Rows with ``topic_id``; farther than ``max_distance`` from their centre they are noise."""
-    data = _features(df, vector_column).persist()
+    data = _features(df.select(vector_column), vector_column).select("_features").persist()
     try:
         model = _fit(data, k, restarts)
     finally:
@@ -79,8 +90,11 @@ def topic_terms(
     terms per topic and f the term's frequency over all topics.
     """
     words = tokens(F.coalesce(text_column, F.lit("")), stop_words)
-    terms = exploded(docs.where(F.col("topic_id") != NOISE_TOPIC), phrases(words), "term", ["topic_id"])
-    tf = terms.groupBy("topic_id", "term").agg(F.count("*").alias("tf"))
+    texts = widen(docs.where(F.col("topic_id") != NOISE_TOPIC).select("topic_id", text_column))
+    terms = exploded(texts, phrases(words), "term", ["topic_id"])
+    shared_folder(docs.sparkSession)
+    # Counts are far smaller than the texts and serve three uses; texts are read once.
+    tf = terms.groupBy("topic_id", "term").agg(F.count("*").alias("tf")).checkpoint()
     freq = tf.groupBy("term").agg(F.sum("tf").alias("f"))
     mean = tf.agg((F.sum("tf") / F.count_distinct("topic_id")).alias("a")).first()["a"] or 0.0
     weight = F.round(F.col("tf") * F.ln(F.lit(1.0) + F.lit(float(mean)) / F.col("f")), digits)
