@@ -214,7 +214,7 @@ def spam_by_video(comments: DataFrame, key: str = "videoId", limit: int | None =
     out = (
         comments.where(F.col(key).isNotNull()).groupBy(key)
         .agg(
-            F.count("commentId").alias("total"),
+            F.count("commentId" if "commentId" in comments.columns else "text").alias("total"),
             F.count_if(F.col("spam_label") == "spam").alias("spam"),
             F.count_if(F.col("spam_label") == "suspeito").alias("suspeito"),
         )

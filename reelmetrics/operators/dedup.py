@@ -39,8 +39,8 @@ def union_all(old: DataFrame, new: DataFrame) -> DataFrame:
 def top_comment(comments: DataFrame) -> DataFrame:
     """One comment per video: top-level before replies, most likes, then the oldest."""
     df = comments
-    if "isReply" not in df.columns:
-        df = df.withColumn("isReply", F.lit(False))
+    absent = {"isReply": F.lit(False), "likeCount": F.lit(0.0), "publishedAt": F.lit(None).cast("string")}
+    df = df.withColumns({n: c for n, c in absent.items() if n not in df.columns})
     df = numeric_columns(df.where(~is_blank(F.coalesce("text", F.lit("")))), ["likeCount"], fill=0)
     order = [
         F.coalesce("isReply", F.lit(False)).asc(),
