@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmetrics.llm.common import table
+from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
 from reelmetrics.llm.transducer import encode_decode
 
@@ -35,3 +36,8 @@ def op4_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts(table(spark, d, "documents"), piece_model())
+
+
+@query
+def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"))
