@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmetrics.llm.common import table
+from reelmetrics.llm.decontaminate import overlaps
 from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
 from reelmetrics.llm.transducer import encode_decode
@@ -41,3 +42,8 @@ def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op3_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
