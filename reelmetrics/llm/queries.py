@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmetrics.llm.common import table
 from reelmetrics.llm.decontaminate import overlaps
+from reelmetrics.llm.html_text import extract_text
+from reelmetrics.llm.line_chunks import drop_repeated_chunks
 from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
 from reelmetrics.llm.transducer import encode_decode
@@ -47,3 +49,14 @@ def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op3_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    done = drop_repeated_chunks(table(spark, d, "documents"))
+    return done.select("doc_id", "text", "n_chunks_removed", "n_lines_removed")
+
+
+@query
+def op8_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return extract_text(table(spark, d, "pages"))
