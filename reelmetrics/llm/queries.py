@@ -12,6 +12,7 @@ from reelmetrics.llm.html_text import extract_text
 from reelmetrics.llm.line_chunks import drop_repeated_chunks
 from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
+from reelmetrics.llm.topk import top_k
 from reelmetrics.llm.transducer import encode_decode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +61,20 @@ def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_main_text(spark: SparkSession, d: str) -> DataFrame:
     return extract_text(table(spark, d, "pages"))
+
+
+@query
+def op7_top_k(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLE["op7_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, v.vec_id, list_dot_product(q.v, v.v)::bigint as score
+  from v q join v on q.vec_id <> v.vec_id where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10"""
