@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelmetrics.llm.common import table
+from reelmetrics.llm.common import fold, table
 from reelmetrics.llm.decontaminate import overlaps
 from reelmetrics.llm.html_text import extract_text
 from reelmetrics.llm.line_chunks import drop_repeated_chunks
+from reelmetrics.llm.quality import quality, quality_model
 from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
 from reelmetrics.llm.topk import top_k
+from reelmetrics.llm.toxicity import toxicity, toxicity_model
 from reelmetrics.llm.transducer import encode_decode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,13 +32,17 @@ def piece_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-@query
-def op4_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+def encoded_documents(docs: DataFrame) -> DataFrame:
     """Every document encoded and decoded; the decoded text as its digest."""
-    done = encode_decode(table(spark, d, "documents"), piece_model())
+    done = encode_decode(docs, piece_model())
     return done.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"), "exact")
 
 
+@query
+def op4_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return encoded_documents(table(spark, d, "documents"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts(table(spark, d, "documents"), piece_model())
@@ -78,3 +84,26 @@ s as (
   from v q join v on q.vec_id <> v.vec_id where q.vec_id % 100 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 10"""
+
+
+def _scored(scored: DataFrame, parts: int, held_out: int, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), parts) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, d, "labels"))
+    return _scored(toxicity(docs, model), 5, 0, 0.5)
+
+
+@query
+def op10_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = quality_model(docs, table(spark, d, "labels"))
+    return _scored(quality(docs, model), 4, 2, 0.7)

@@ -72,7 +72,7 @@ def text_lengths(model: PieceModel, kept: dict[str, int], texts: list[str]) -> l
     cut = [part_keys(t, model.lines_apart) for t in texts]
     if len(kept) > KEPT_PARTS:
         kept.clear()
-    if new := sorted(set().union(*cut) - kept.keys(), key=len):
+    if new := sorted(set().union(*cut).difference(kept), key=len):
         begin, chars = 0, 0
         for i, k in enumerate(new):
             chars += len(k) + 1

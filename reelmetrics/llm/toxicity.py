@@ -277,13 +277,11 @@ def toxicity(docs: DataFrame, model: Scorer | None, key: str = "doc_id", text: s
         return docs.withColumn(score, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def rate(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821, UP037
-        import pandas as pd
-
+    @F.arrow_udf("double")
+    def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = pieces(iter([pa.RecordBatch.from_arrays([pa.array(batch, pa.string())], ["text"])]))
-            found = [shared.value.scores([t or "" for t in p.column("text").to_pylist()]) for p in parts]
-            yield pd.Series(np.concatenate([np.zeros(0), *found]))
+            parts = pieces(iter([pa.RecordBatch.from_arrays([batch], ["text"])]))
+            found = [shared.value.scores(p.column("text").to_pylist()) for p in parts]
+            yield pa.array(np.concatenate([np.zeros(0), *found]))
 
     return docs.withColumn(score, rate(F.coalesce(F.col(f"`{text}`"), F.lit(""))))

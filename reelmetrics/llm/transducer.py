@@ -252,7 +252,7 @@ class Encoder:
         cut = [part_keys(t, self.model.lines_apart) for t in texts]
         if len(self.kept) > KEPT_PARTS:
             self.kept.clear()
-        new = sorted(set().union(*cut) - self.kept.keys(), key=len)
+        new = sorted(set().union(*cut).difference(self.kept), key=len)
         begin, chars = 0, 0
         for i, k in enumerate(new):
             chars += len(k) + 1
