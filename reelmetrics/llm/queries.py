@@ -10,6 +10,7 @@ from reelmetrics.llm.common import fold, table
 from reelmetrics.llm.decontaminate import overlaps
 from reelmetrics.llm.html_text import extract_text
 from reelmetrics.llm.line_chunks import drop_repeated_chunks
+from reelmetrics.llm.pii import personal_data
 from reelmetrics.llm.quality import quality, quality_model
 from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
@@ -107,3 +108,8 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     model = quality_model(docs, table(spark, d, "labels"))
     return _scored(quality(docs, model), 4, 2, 0.7)
+
+
+@query
+def op1_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    return personal_data(table(spark, d, "documents"))
