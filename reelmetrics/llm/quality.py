@@ -38,7 +38,7 @@ def shape(word: str) -> str:
     if word.isalpha():
         if word.islower():
             return "x"
-        if word.istitle():
+        if len(word) > 1 and word.istitle():
             return "Xx"
     return RUN.sub(r"\1\1", DIGITS.sub("0", UPPER.sub("X", LOWER.sub("x", word))))
 

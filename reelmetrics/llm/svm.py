@@ -51,5 +51,23 @@ def calibrate(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[floa
     return slope, offset
 
 
+def calibrate_many(x: np.ndarray, y: np.ndarray, pull: float = 0.1, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic model of several columns, each of which may only speak for label 1,
+    and the offset; squared weights count ``pull`` each."""
+    x = np.c_[x, np.ones(len(x))]
+    w = np.zeros(x.shape[1])
+    cost = pull * np.append(np.ones(x.shape[1] - 1), 1e-6)
+    for _ in range(rounds):
+        p = logistic(x @ w)
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(cost) + 1e-9 * np.eye(len(w)), x.T @ (p - y) + cost * w)
+        new = w - np.clip(step, -3, 3)
+        new[:-1] = np.maximum(new[:-1], 0)
+        done = np.abs(new - w).max() < 1e-6
+        w = new
+        if done:
+            break
+    return w
+
+
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))

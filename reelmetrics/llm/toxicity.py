@@ -6,7 +6,8 @@ it. The kernel is taken against a fixed set of landmark words (Nyström): a sent
 described by its nearest word to each landmark, in the coordinates that make landmarks'
 products their kernel values, and support vectors are trained on sentences. Only documents
 are labelled, so the toxic sentences of a toxic document are found along the way: those that
-score so far, and its best one at least. A document scores as its worst sentence.
+score so far, and its best one at least. A document's score comes from its worst sentence and
+from how many of its sentences are toxic.
 """
 
 from __future__ import annotations
@@ -21,13 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.llm.common import fold, pieces
-from reelmetrics.llm.svm import calibrate, fit, logistic
+from reelmetrics.llm.svm import calibrate_many, fit, logistic
 
 #: Labelled rows of each class that are used at most, the ones with the smallest hash.
 SAMPLE_ROWS = 3000
 LANDMARKS = 128
-#: The share of toxic documents that a landmark stands in at least, and its log odds.
-LEAST_SHARE, LEAST_ODDS = 0.01, 2.0
+#: Lengths of the stems that are tried beside whole words.
+STEMS = range(4, 9)
+#: The share of toxic documents that a landmark stands in at least, its log odds, and both as
+#: evidence: documents times log odds.
+LEAST_SHARE, LEAST_ODDS, LEAST_EVIDENCE = 0.01, 2.0, 25.0
 #: Decay for a character jumped over, characters from the first of three to the last at most,
 #: and the kernel value that counts as none at all.
 DECAY, SPAN, LEAST = 0.6, 5, 0.55
@@ -52,14 +56,17 @@ def plain(word: str) -> str:
     return MARKS.sub("", low.translate(LOOKS)) if any(map(str.isalpha, low)) else ""
 
 
-# Two marks before a word and one behind it, as its beginning tells most.
-BEFORE, BEHIND = "^^", "$"
+def marked(word: str) -> str:
+    """The word between two marks, as its beginning tells most, and one; a stem, which ends in a
+    hyphen, has none behind it."""
+    return f"^^{word[:-1]}" if word[-1:] == "-" else f"^^{word}$"
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word, code and weight of all subsequences of three of the words between their marks."""
-    chars = np.frombuffer("".join(f"{BEFORE}{w}{BEHIND}" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    size = np.array([len(w) + 3 for w in words])
+    said = [marked(w) for w in words]
+    chars = np.frombuffer("".join(said).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.array([len(w) for w in said])
     ends = np.repeat(np.cumsum(size), size)
     owner = np.repeat(np.arange(len(words)), size)
     out = []
@@ -81,7 +88,7 @@ def self_kernels(words: list[str]) -> np.ndarray:
 
 def least_self_kernels(words: list[str]) -> np.ndarray:
     """A lower bound of that, from the lengths alone: as if no subsequence came twice."""
-    size = np.array([len(w) + 3 for w in words])
+    size = np.array([len(marked(w)) for w in words])
     return sum(np.maximum(size - b, 0) * weight**2 for _, b, weight in PATTERNS)
 
 
@@ -133,7 +140,7 @@ class Kernel:
 class Scorer:
     """The trained model. It remembers words: those near a landmark with their kernel values."""
 
-    def __init__(self, kernel: Kernel, weights: np.ndarray, offset: float, curve: tuple[float, float]):
+    def __init__(self, kernel: Kernel, weights: np.ndarray, offset: float, curve: np.ndarray):
         self.kernel, self.weights, self.offset, self.curve = kernel, weights, offset, curve
         self.near: dict[str, np.ndarray] = {}
         self.known: set[str] = set()
@@ -150,14 +157,16 @@ class Scorer:
                 rows, values = self.kernel.values([p for _, p in part])
                 self.near.update((part[i][0], v) for i, v in zip(rows.tolist(), values))
 
-    def describe(self, texts: list[str]) -> list[list[np.ndarray]]:
-        """For each text the sentences with a word near a landmark: their nearest kernel values."""
-        words = [set(t.split()) for t in texts]
+    def describe(self, texts: list[str]) -> list[tuple[int, list[np.ndarray]]]:
+        """For each text the number of its words, and of the sentences with a word near a
+        landmark their nearest kernel values."""
+        parts = [t.split() for t in texts]
+        sizes, words = [len(p) for p in parts], [set(p) for p in parts]
         spelled = [SPELLED.findall(t) for t in texts]
         words = [w | {MARKS.sub("", s) for s in more} if more else w for w, more in zip(words, spelled, strict=True)]
         self.learn_words(set().union(*words))
         near, out = self.near, []
-        for text, own, more in zip(texts, words, spelled, strict=True):
+        for text, size, own, more in zip(texts, sizes, words, spelled, strict=True):
             found = []
             if not own.isdisjoint(near):
                 for sentence in SENTENCES.split(text):
@@ -167,47 +176,61 @@ class Scorer:
                     values = [near[w] for w in parts if w in near]
                     if values:
                         found.append(np.max(values, axis=0))
-            out.append(found)
+            out.append((size, found))
         if len(near) > KEPT_WORDS // 10:
             near.clear(), self.known.clear()
         return out
 
-    def margin(self, described: list[np.ndarray]) -> float:
-        none = self.offset
-        return max([none, *(np.stack(described) @ self.weights + self.offset).tolist()]) if described else none
+    def summary(self, size: int, found: list[np.ndarray]) -> tuple[float, float, float]:
+        """Of a text the largest margin of a sentence, the number of toxic sentences, and their
+        share, all on scales of about one."""
+        margins = np.stack(found) @ self.weights + self.offset if found else np.zeros(0)
+        toxic = int((margins > 0).sum())
+        return max([self.offset, *margins.tolist()]), float(np.log1p(toxic)), min(3.0, 50 * toxic / max(size, 20))
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        margins = np.array([self.margin(d) for d in self.describe(texts)])
-        return logistic(self.curve[0] * margins + self.curve[1])
+        x = np.array([(*self.summary(*d), 1.0) for d in self.describe(texts)]).reshape(len(texts), 4)
+        return logistic(np.clip(x, -3, 3) @ self.curve)
 
 
 def choose_landmarks(texts: list[str], toxic: np.ndarray, most: int = LANDMARKS) -> list[str]:
-    """Words of many toxic documents and of hardly any other, the most telling first.
+    """Words and stems of many toxic documents and of hardly any other, the most telling first.
 
-    What near copies of one document share tells nothing, so a word counts no more often than
-    there are different words before it.
+    Of a word and its stems the one that tells most is taken, of ties the longest. What near
+    copies of one document share tells nothing, so nothing counts more often than there are
+    different words before it.
     """
     counts = {True: Counter(), False: Counter()}
-    follows = set()
+    forms: dict[str, list[str]] = {}
+    contexts: dict[str, set[str]] = {}
     for text, y in zip(texts, toxic, strict=True):
         words = text.split()
-        counts[bool(y)].update(set(words))
+        own = set()
+        for word in set(words):
+            if word not in forms:
+                p = plain(word)
+                forms[word] = [*(f"{p[:n]}-" for n in STEMS if n <= len(p)), p] if len(p) >= 3 else []
+            own.update(forms[word])
+        counts[bool(y)].update(own)
         if y:
-            follows.update(zip(["", *words], words))
-    contexts: Counter = Counter()
-    for _, word in follows:
-        contexts[word] += 1
-    by_plain = {True: Counter(), False: Counter()}
-    for y, own in counts.items():
-        for word, n in own.items():
-            by_plain[y][plain(word)] += min(n, contexts[word]) if y else n
+            for before, word in {*zip(["", *words], words)}:
+                for form in forms[word]:
+                    contexts.setdefault(form, set()).add(before)
     share = max(1, toxic.sum()), max(1, len(toxic) - toxic.sum())
     rated = []
-    for word, n in by_plain[True].items():
-        odds = np.log((n + 0.5) / share[0]) - np.log((by_plain[False][word] + 0.5) / share[1])
-        if len(word) >= 3 and n >= max(3, LEAST_SHARE * share[0]) and odds > LEAST_ODDS:
-            rated.append((-n * odds, word))
-    return [w for _, w in sorted(rated)[:most]]
+    for form, n in counts[True].items():
+        n = min(n, len(contexts[form]))
+        odds = np.log((n + 0.5) / share[0]) - np.log((counts[False][form] + 0.5) / share[1])
+        if n >= LEAST_SHARE * share[0] and odds > LEAST_ODDS and n * odds >= LEAST_EVIDENCE:
+            rated.append((-round(n * odds, 6), -len(form), form))
+    chosen: list[str] = []
+    for *_, form in sorted(rated):
+        bare = form.rstrip("-")
+        if not any(bare.startswith(c.rstrip("-")) or c.startswith(bare) for c in chosen):
+            chosen.append(form)
+            if len(chosen) == most:
+                break
+    return chosen
 
 
 def train(texts: list[str], toxic: np.ndarray, rounds: int = 3, cost: float = 4.0) -> Scorer | None:
@@ -221,13 +244,13 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 3, cost: float = 4.
     among[rows] = values
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     root = vectors * (1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    scorer = Scorer(kernel, among.max(axis=0), -1.0, (1.0, 0.0))
+    scorer = Scorer(kernel, among.max(axis=0), -1.0, np.zeros(4))
     described = scorer.describe(texts)
-    owner = np.repeat(np.arange(len(texts)), [len(d) for d in described])
-    rows = [v for d in described for v in d]
+    owner = np.repeat(np.arange(len(texts)), [len(d) for _, d in described])
+    rows = [v for _, d in described for v in d]
     data = np.concatenate([np.stack(rows) @ root, np.ones((len(rows), 1))], axis=1) if rows else np.zeros((0, len(landmarks) + 1))
-    # To begin with, the sentence of a toxic document nearest to a telling word is its toxic one.
-    margin = np.array([v.max() for v in rows]) - 0.9
+    # To begin with, what is alike to a landmark is toxic, and the nearest sentence in any case.
+    margin = np.array([v.max() for v in rows]) - 0.75
     for _ in range(rounds):
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, owner, margin)
@@ -241,8 +264,8 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 3, cost: float = 4.
         w = fit([every] * len(x), list(x), y, x.shape[1], cost * np.minimum(share, 10) * np.append(np.ones(len(y) - 1), 10), epochs=12)
         margin = data @ w
     scorer.weights, scorer.offset = (root @ w[:-1]).astype(np.float32), float(w[-1])
-    margins = np.array([scorer.margin(d) for d in described])
-    scorer.curve = calibrate(margins, toxic.astype(float))
+    summaries = np.clip([scorer.summary(*d) for d in described], -3, 3)
+    scorer.curve = calibrate_many(summaries, toxic.astype(float))
     scorer.near, scorer.known = {}, set()
     return scorer
 
