@@ -97,7 +97,7 @@ def toy_vectors():
     select doc_id, case when pos then 'POS' else 'NEG' end as label, conf, case when pos then conf else 0.0 - conf end as value from t""",
 )
 def sentiment_scoring(spark, d):
-    s = sentiment_scores(toy_sentiment, F.col("text"), chars=None)
+    s = sentiment_scores(toy_sentiment, F.col("text"))
     scored = table(spark, d, "documents").select("doc_id", s.alias("s"))
     return scored.select("doc_id", "s.label", "s.conf", (F.col("s.value") + 0.0).alias("value"))
 
@@ -143,7 +143,22 @@ def keyphrase_table(spark, d):
     return keyphrases(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-@query("m6_topic_clusters")
+def overview_facts(overview, most: int):
+    """What holds of an overview whatever the clusters are."""
+    return overview.agg(
+        F.sum("Count").alias("rows"),
+        F.count_if(F.col("topic_repr").isNull() | (F.col("topic_repr") == "")).alias("unnamed"),
+        F.count_if((F.col("topic_id") == -1) & (F.col("topic_repr") != "Other")).alias("misnamed_noise"),
+        (F.count_distinct("topic_id") == F.count("*")).alias("one_row_each"),
+        F.bool_and(F.col("topic_id").between(-1, most - 1)).alias("ids_in_range"),
+    )
+
+
+OVERVIEW_FACTS = """select count(*)::bigint as "rows", 0::bigint as unnamed, 0::bigint as misnamed_noise, true as one_row_each,
+    true as ids_in_range from embeddings"""
+
+
+@query("m6_topic_clusters", OVERVIEW_FACTS)
 def topic_clusters(spark, d):
     """Clusters over all vectors with the leading term of the texts that share their id."""
     vectors = table(spark, d, "embeddings").join(
@@ -151,7 +166,7 @@ def topic_clusters(spark, d):
     )
     topics = topic_jobs.assign_topics(vectors, "embedding", k=8, max_distance=1.0)
     named = topic_jobs.with_representatives(topics, topic_jobs.topic_terms(topics, "text"), "vec_id")
-    return topic_overview(named)
+    return overview_facts(topic_overview(named), 8)
 
 
 @query(
@@ -171,14 +186,15 @@ def topic_term_names(spark, d):
     return topic_jobs.topic_terms(table(spark, d, "documents").join(vectors, "doc_id"), "text")
 
 
-@query("m7_small_topics")
+@query("m7_small_topics", OVERVIEW_FACTS)
 def small_topics(spark, d):
     vectors = table(spark, d, "embeddings").withColumnRenamed("vec_id", "videoId")
     titles = table(spark, d, "part").select(F.col("p_partkey").alias("videoId"), F.col("p_name").alias("title"))
     rows = vectors.join(titles, "videoId", "left")
     k = topic_jobs.small_k(2, vectors.count())
     topics = topic_jobs.assign_topics(rows, "embedding", k, restarts=topic_jobs.RESTARTS)
-    return topic_overview(topic_jobs.with_representatives(topics, topic_jobs.title_representatives(topics), "videoId"))
+    named = topic_jobs.with_representatives(topics, topic_jobs.title_representatives(topics), "videoId")
+    return overview_facts(topic_overview(named), k)
 
 
 @query(
@@ -227,7 +243,7 @@ def comment_enrichment(spark, d):
 )
 def brand_table(spark, d):
     parts = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("title"), F.col("p_type").alias("text"))
-    out = extract_brands(parts, words=PART_WORDS, series=PART_PATTERNS, models=(r"\bnone\b",), chars=None)
+    out = extract_brands(parts, words=PART_WORDS, series=PART_PATTERNS, models=(r"\bnone\b",))
     return out.drop("text")
 
 
@@ -245,7 +261,7 @@ def brand_table(spark, d):
       case when len(hits) > 0 then 'rule' else 'fallback' end as brand_source from h""",
 )
 def brand_documents(spark, d):
-    out = extract_brands(table(spark, d, "documents").select("doc_id", "text"), chars=None)
+    out = extract_brands(table(spark, d, "documents").select("doc_id", "text"))
     return out.select("doc_id", "brand_primary", "brands_text", "brand_source")
 
 

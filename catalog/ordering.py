@@ -81,7 +81,7 @@ def keep_last_merge(spark, d):
 
 @query("w4_keep_first", "select min(doc_id) as doc_id, text from documents group by text")
 def keep_first(spark, d):
-    return W.keep_first(table(spark, d, "documents").select("doc_id", "text"), ["text"], [F.asc("doc_id")])
+    return W.keep_first_text(table(spark, d, "documents").select("doc_id", "text"), "text", [F.asc("doc_id")])
 
 
 @query(

@@ -107,14 +107,18 @@ def video_rows(spark, d):
             F.concat(F.lit("PT"), (F.col("o_orderkey") % 90).cast("string"), F.lit("S")).alias("duration")
         ).alias("contentDetails"),
     )
-    pages = orders.groupBy(F.floor(F.col("o_orderkey") / PAGE)).agg(F.collect_list(item).alias("items"))
+    # Every third video comes again in a later response, with counts that are larger as text.
+    later = item.withField("statistics", F.struct(F.lit("9999999999").alias("viewCount"), F.lit("99").alias("likeCount")))
+    first = orders.groupBy(F.floor(F.col("o_orderkey") / PAGE).alias("page_no")).agg(F.collect_list(item).alias("items"))
+    again = orders.where("o_orderkey % 3 = 0").groupBy((F.floor(F.col("o_orderkey") / PAGE) + 10_000_000).alias("page_no"))
+    pages = first.unionByName(again.agg(F.collect_list(later).alias("items")))
     found = orders.where("o_orderstatus = 'F'").select(
         key.alias("videoId"),
         F.col("o_orderpriority").alias("market"),
         F.concat(F.lit("q"), F.col("o_orderstatus")).alias("search_query"),
         F.lit("any").alias("language_hint"),
     )
-    return api.video_rows(nested(pages.select("items"), schemas.VIDEO_RESPONSE), found)
+    return api.video_rows(nested(pages, schemas.VIDEO_RESPONSE), found)
 
 
 @query(
@@ -134,8 +138,15 @@ def channel_rows(spark, d):
             F.expr("nullif(c_nationkey % 3, 2) = 1").alias("hiddenSubscriberCount"),
         ).alias("statistics"),
     )
-    pages = table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / PAGE)).agg(F.collect_list(item).alias("items"))
-    return api.channel_rows(nested(pages.select("items"), schemas.CHANNEL_RESPONSE))
+    later = item.withField("statistics", F.struct(F.lit("99999").alias("subscriberCount"), F.lit("9").alias("videoCount"), F.lit(True).alias("hiddenSubscriberCount")))
+    rows = table(spark, d, "customer")
+    first = rows.groupBy(F.floor(F.col("c_custkey") / PAGE).alias("page_no")).agg(F.collect_list(item).alias("items"))
+    again = rows.where("c_custkey % 3 = 0").groupBy((F.floor(F.col("c_custkey") / PAGE) + 10_000_000).alias("page_no"))
+    pages = first.unionByName(again.agg(F.collect_list(later).alias("items")))
+    # Through JSON lines in files, as the responses are kept.
+    folder = new_folder(spark, "channel-responses")
+    pages.write.json(folder)
+    return api.channel_rows(api.read_channels(spark, folder))
 
 
 @query(
@@ -255,7 +266,7 @@ def present_rows(spark, d):
     "i1_collection_window",
     """with mark as (select max(ts) as m from events where event_type = 'error')
     select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as "publishedAt" from events, mark
-    where ts between date_trunc('second', m) - interval 10 day and timestamp '2026-12-31 23:59:59'""",
+    where ts >= date_trunc('second', m) - interval 10 day""",
 )
 def collection_window(spark, d):
     events = table(spark, d, "events").withColumnRenamed("ts", "publishedAt")

@@ -6,7 +6,7 @@ from itertools import chain
 
 from pyspark.sql import Column, functions as F
 
-from reelmetrics.functions.text import BRAND_TEXT_CHARS, any_true, strip, truncate
+from reelmetrics.functions.text import any_true, strip, truncate
 
 # Brand dictionary; order decides the primary brand.
 BRAND_WORDS = {
@@ -40,7 +40,7 @@ BRAND_TEXT_COLUMNS = ("title", "text_short", "text", "top_comment", "channelTitl
 UNKNOWN = "unknown"
 
 
-def brand_text(parts: list[Column], chars: int | None = BRAND_TEXT_CHARS) -> Column:
+def brand_text(parts: list[Column], chars: int | None = None) -> Column:
     """Non-empty trimmed parts joined by `` | ``."""
     return truncate(F.concat_ws(" | ", *[F.nullif(strip(p), F.lit("")) for p in parts]), chars)
 

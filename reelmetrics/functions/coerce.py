@@ -53,8 +53,11 @@ def timestamp(c: Column) -> Column:
 
 
 def utc_date(c: Column) -> Column:
-    """UTC calendar day of a timestamp or ISO text; the session time zone must be UTC."""
-    return F.to_date(timestamp(c))
+    """UTC calendar day of a timestamp or ISO text, whatever the session's time zone.
+
+    Text without a zone is read in the session's, as every cast of text is.
+    """
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), timestamp(c).cast("timestamp_ntz")))
 
 
 def duration_seconds(c: Column) -> Column:
@@ -71,7 +74,7 @@ def look_back(
     mark: Column, days: int = LOOKBACK_DAYS, default: str = PUBLISHED_AFTER_DEFAULT
 ) -> Column:
     """High-water mark minus an overlap, as ISO text; missing or bad marks give ``default``."""
-    shifted = timestamp(mark) - F.make_dt_interval(F.lit(days))
+    shifted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), timestamp(mark).cast("timestamp_ntz")) - F.make_dt_interval(F.lit(days))
     return F.coalesce(F.date_format(shifted, ISO_Z), F.lit(default))
 
 

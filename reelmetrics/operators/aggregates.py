@@ -19,7 +19,6 @@ METRICS = (
 # Words that are not spam signals.
 IGNORED_SIGNALS = ("", "unknown", "nan", "none", "null")
 RANKING_TOP = 15
-ROUNDING = 1e-12  # a spread below this share of the squares is rounding, not variation
 SIGNALS_TOP = 10
 SPAM_VIDEOS_TOP = 20
 
@@ -138,53 +137,26 @@ def kpis(df: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
-    """Pearson matrix in long form over pairwise complete rows.
+    """Pearson matrix in long form over pairwise complete rows, in one pass.
 
-    Means first, then one pass of plain sums; metrics without gaps share theirs. A constant
-    metric has no correlation: NULL, also with itself.
+    A constant metric has no correlation: NULL, also with itself.
     """
     names = [m for m in metrics if m in df.columns]
     values = df.select(*[F.col(m).cast("double").alias(m) for m in names])
-    facts = values.agg(
-        F.count("*").alias("rows"),
-        *[F.count(m).alias(f"n_{m}") for m in names],
-        *[F.avg(m).alias(f"a_{m}") for m in names],
-    ).first()
-    # Deviations from the overall mean keep the power sums small.
-    gaps = values.select(*[(F.col(m) - F.lit(facts[f"a_{m}"] or 0.0)).alias(f"g{i}") for i, m in enumerate(names)])
-    full = [facts[f"n_{m}"] == facts["rows"] for m in names]
-
-    def present(i: int, term: str) -> str:
-        return term if full[i] else f"case when g{i} is not null then {term} end"
-
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    sums = {}
-    for i, j in pairs:
-        sums[f"n_{i}_{j}"] = f"count(g{i} * g{j})"
-        sums[f"xy_{i}_{j}"] = f"sum(g{i} * g{j})"
-        sums[f"x_{i}_{j}"] = f"sum({present(j, f'g{i}')})"
-        sums[f"y_{i}_{j}"] = f"sum({present(i, f'g{j}')})"
-        sums[f"xx_{i}_{j}"] = f"sum({present(j, f'g{i} * g{i}')})"
-        sums[f"yy_{i}_{j}"] = f"sum({present(i, f'g{j} * g{j}')})"
-
-    def spread(s: str, pair: str) -> str:
-        """n times the sum of squares about the mean; NULL where only rounding is left of it."""
-        squares = f"n_{pair} * {s}{s}_{pair}"
-        about = f"{squares} - {s}_{pair} * {s}_{pair}"
-        return f"sqrt(case when {about} > {squares} * {ROUNDING}D then {about} end)"
-
-    def pearson(pair: str) -> str:
-        return f"(n_{pair} * xy_{pair} - x_{pair} * y_{pair}) / ({spread('x', pair)} * {spread('y', pair)})"
-
-    matrix = gaps.agg(*[F.expr(e).alias(n) for n, e in sums.items()]).selectExpr(
-        *[f"{pearson(f'{i}_{j}')} as r_{i}_{j}" for i, j in pairs]
-    )
-    cells = ", ".join(
-        f"named_struct('metric_x', '{x}', 'metric_y', '{y}', 'corr', r_{min(i, j)}_{max(i, j)})"
+    cells = {}
+    for i, x in enumerate(names):
+        cells[f"r_{i}_{i}"] = F.when(F.stddev_pop(x) > 0, F.lit(1.0))
+        for j in range(i + 1, len(names)):
+            y = names[j]
+            spreads = F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x))) * F.stddev_pop(F.when(F.col(x).isNotNull(), F.col(y)))
+            cells[f"r_{i}_{j}"] = F.try_divide(F.covar_pop(x, y), spreads)
+    matrix = values.agg(*[c.alias(n) for n, c in cells.items()])
+    rows = ", ".join(
+        f"named_struct('metric_x', '{x}', 'metric_y', '{y}', 'corr', nanvl(r_{min(i, j)}_{max(i, j)}, null))"
         for i, x in enumerate(names)
         for j, y in enumerate(names)
     )
-    return matrix.selectExpr(f"inline(array({cells}))")
+    return matrix.selectExpr(f"inline(array({rows}))")
 
 
 def value_counts(df: DataFrame, name: str, limit: int | None = None) -> DataFrame:

@@ -22,12 +22,25 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return top_per_key(df, keys, order, 1)
 
 
+def keep_first_text(df: DataFrame, text: str, order: list[Column]) -> DataFrame:
+    """The first row of each text; rows are dealt and sorted by a digest of it, not by the text."""
+    keyed = df.withColumn("_digest", F.unhex(F.sha2(F.col(text), 256)))
+    return keep_first(keyed, ["_digest"], order).drop("_digest")
+
+
+def total_order(df: DataFrame, first: list[str] = (), skip: tuple[str, ...] = ()) -> list[Column]:
+    """``first``, largest first, then every other column that has an order: no ties but equal rows."""
+    rest = [f.name for f in df.schema.fields if f.name not in (*first, *skip) and "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    return [F.desc_nulls_last(c) for c in (*first, *rest)]
+
+
 def keep_last_merge(old: DataFrame, new: DataFrame, keys: list[str], order: list[str] = ()) -> DataFrame:
-    """Union by name; of equal keys the later batch wins, inside a batch the larger ``order``."""
+    """Union by name; of equal keys the later batch wins, inside a batch the larger ``order``,
+    and of ties the row whose other columns are larger."""
     both = old.withColumn("_batch", F.lit(0)).unionByName(
         new.withColumn("_batch", F.lit(1)), allowMissingColumns=True
     )
-    later = [F.desc("_batch"), *[F.desc_nulls_last(c) for c in order]]
+    later = [F.desc("_batch"), *total_order(both, list(order), ("_batch", *keys))]
     return keep_first(both, keys, later).drop("_batch")
 
 

@@ -14,7 +14,7 @@ def extract_brands(
     words: dict = B.BRAND_WORDS,
     series: tuple[str, ...] = B.SERIES_PATTERNS,
     models: tuple[str, ...] = B.MODEL_PATTERNS,
-    chars: int | None = B.BRAND_TEXT_CHARS,
+    chars: int | None = None,
     threshold: float = B.SPAN_THRESHOLD,
 ) -> DataFrame:
     """``videos`` plus the six brand columns. Row-local: no shuffle, no Python."""

@@ -55,5 +55,5 @@ def join_new_columns(base: DataFrame, parts: list[DataFrame], on: str = "videoId
 def pending(source: DataFrame, done: DataFrame, key: str = "videoId") -> DataFrame:
     """Rows whose key was not processed yet; NULL keys are never pending."""
     return source.where(F.col(key).isNotNull()).join(
-        done.where(F.col(key).isNotNull()).select(key), key, "left_anti"
+        done.where(F.col(key).isNotNull()).select(key).distinct(), key, "left_anti"
     )

@@ -7,8 +7,12 @@ vectors at hand ``rerank`` orders the candidates by cosine instead.
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Iterator
+from heapq import nlargest
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
 from reelmetrics.operators.skew import lookup_join
@@ -36,53 +40,48 @@ def phrases(words: Column) -> Column:
     return F.concat(words, pairs)
 
 
-def phrase_lists(docs: DataFrame, id_column: str, text_column: str, stop_words: tuple[str, ...] = ()) -> DataFrame:
-    """(id, phrases) with every occurrence, partitioned by id.
-
-    The whole text is shuffled once instead of its several times larger list of phrases; the
-    counts per text and whatever follows per text then stay inside the partition.
-    """
-    texts = docs.where(F.col(id_column).isNotNull()).select(id_column, text_column).repartition(id_column)
-    words = tokens(F.coalesce(text_column, F.lit("")), stop_words)
-    return texts.select(id_column, words.alias("_w")).select(id_column, phrases(F.col("_w")).alias("phrases"))
-
-
 def exploded(df: DataFrame, items: Column, name: str, keep: list[str]) -> DataFrame:
     """One row per item. The outer form keeps Spark from pushing a ``size(items) > 0`` filter,
-    and with it a second tokenisation, below the shuffle."""
+    and with it a second tokenisation, below it."""
     return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
 
 
-def phrase_counts(lists: DataFrame, id_column: str) -> DataFrame:
-    """(id, phrase, tf)"""
-    terms = exploded(lists, F.col("phrases"), "phrase", [id_column])
-    return terms.groupBy(id_column, "phrase").agg(F.count("*").alias("tf"))
-
-
 def phrase_spread(lists: DataFrame) -> DataFrame:
     """(phrase, df): in how many texts each phrase occurs."""
     once = exploded(lists, F.array_distinct("phrases"), "phrase", [])
     return once.groupBy("phrase").agg(F.count("*").alias("df"))
 
 
-def contenders(tf: DataFrame, id_column: str, top: int, max_idf: float) -> DataFrame:
-    """Phrases that can still be among the best ``top`` of their text; exact.
+def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
+    """(id, phrase, tf) of the phrases that can still be among the best ``top`` of their text; exact.
 
-    Weights lie between 1 and ``max_idf``, so a phrase whose count times ``max_idf`` is below
-    the count of the text's ``top``-th most frequent phrase is beaten by at least ``top`` others.
+    Phrases are counted where the text is read. Weights lie between 1 and the largest idf of
+    ``_total`` texts, so a phrase whose count times that is below the count of the text's
+    ``top``-th most frequent phrase is beaten by at least ``top`` others. A text is one row.
     """
-    w = Window.partitionBy(id_column).orderBy(F.desc("tf")).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    bar = tf.withColumn("_bar", F.nth_value("tf", top).over(w))
-    beaten = F.col("tf") * max_idf < F.col("_bar") - 1e-6
-    return bar.where(~F.coalesce(beaten, F.lit(False))).drop("_bar")
-
-
-def phrase_weights(candidates: DataFrame, spread: DataFrame, id_column: str, total: int) -> DataFrame:
+    kind = dict(lists.dtypes)[id_column]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, phrase, tf = [], [], []
+            for i, (found, total) in enumerate(zip(batch.column("phrases").to_pylist(), batch.column("_total").to_pylist(), strict=True)):
+                counts = Counter(found)
+                bar = nlargest(top, counts.values())[-1] - 1e-6 if len(counts) >= top else 0
+                most = math.log((1 + total) / 2) + 1
+                kept = {p: n for p, n in counts.items() if n * most >= bar}
+                row += [i] * len(kept)
+                phrase += kept
+                tf += kept.values()
+            ids = batch.column(id_column).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(phrase, pa.string()), pa.array(tf, pa.int64())], [id_column, "phrase", "tf"])
+
+    return lists.select(id_column, "phrases", "_total").mapInArrow(count, f"`{id_column}` {kind}, phrase string, tf bigint")
+
+
+def phrase_weights(candidates: DataFrame, spread: DataFrame, id_column: str, total: Column) -> DataFrame:
     """Candidates (id, phrase, tf) with df and score = tf * (ln((1 + N) / (1 + df)) + 1)."""
     weighted = lookup_join(candidates, spread, "phrase", "df", [id_column], small=False)
-    idf = F.ln((F.lit(1.0) + F.lit(total)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    idf = F.ln((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return weighted.withColumn("score", F.col("tf") * idf)
 
 
@@ -99,9 +98,11 @@ def keyphrases(
     Scores are compared at ``digits`` decimals and ties go by the phrase, so that the result
     does not hang on the last bit of a logarithm.
     """
-    total = docs.count()
-    lists = phrase_lists(docs, id_column, text_column, stop_words)
-    candidates = contenders(phrase_counts(lists, id_column), id_column, top, math.log((1 + total) / 2) + 1)
+    # A scalar subquery: the number of texts is found when the query runs.
+    total = docs.agg(F.count("*").alias("n")).scalar()
+    texts = docs.where(F.col(id_column).isNotNull()).select(id_column, tokens(F.coalesce(text_column, F.lit("")), stop_words).alias("_w"))
+    lists = texts.select(id_column, phrases(F.col("_w")).alias("phrases"), total.alias("_total"))
+    candidates = contenders(lists, id_column, top)
     scored = phrase_weights(candidates, phrase_spread(lists), id_column, total)
     ranked = scored.withColumn("_r", F.round("score", digits))
     best = top_per_key(ranked.select(id_column, "phrase", "_r"), [id_column], [F.desc("_r"), F.asc("phrase")], top)

@@ -31,23 +31,6 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned_bytes(df) <= _setting_bytes(df, "spark.sql.autoBroadcastJoinThreshold")
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Estimated bytes of all inputs of the plan, without Spark's pessimism about joins."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def widen(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows spread over all cores when the input has too few splits for them.
-
-    For work that is heavy per row; without keys rows are dealt out evenly. An input of at least one full split per core stays as it
-    is, so nothing is shuffled at scale; what is shuffled is below that size.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    enough = cores * _setting_bytes(df, "spark.sql.files.maxPartitionBytes")
-    return df if input_bytes(df) >= enough else df.repartition(cores, *keys)
-
-
 def salt(columns: list[str], buckets: int = 1 << 16) -> Column:
     """A spread value that a re-run task computes again exactly."""
     return F.pmod(F.xxhash64(*columns), F.lit(buckets))
@@ -81,9 +64,13 @@ def lookup_join(
     hot_rows = hot.select(on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in extra])
     apart = F.col(on).isNull() | F.col("_hot").isNotNull()
     marked = left.join(F.broadcast(hot_rows), on, "left").withColumn(
-        "_salt", F.when(apart, salt(spread or left.columns) + 1).otherwise(F.lit(0))
+        "_salt", F.when(apart, salt(spread or left.columns) + 1).otherwise(F.lit(0).cast("bigint"))
     )
-    joined = marked.join(right.withColumn("_salt", F.lit(0).cast("bigint")), [on, "_salt"], "left")
+    # One struct as the key: a salt column of its own would be a constant on the right side, and
+    # the optimizer would turn it into a plain condition and shuffle by ``on`` alone.
+    salted = marked.withColumn("_key", F.struct(F.col(on).alias("k"), F.col("_salt").alias("s")))
+    plain = right.select(F.struct(F.col(on).alias("k"), F.lit(0).cast("bigint").alias("s")).alias("_key"), *extra)
+    joined = salted.join(plain, "_key", "left")
     return joined.select(
         *left.columns,
         *[F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in extra],

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.functions import text as T
 from reelmetrics.functions.coerce import numeric_columns
-from reelmetrics.operators.skew import lookup_join, widen
+from reelmetrics.operators.skew import lookup_join
+from reelmetrics.session import shared_folder
 
 # Signal weights in output order, thresholds and labels.
 WEIGHTS = {
@@ -94,28 +95,53 @@ def spam_label(score: Column) -> Column:
     )
 
 
-def flagged(comments: DataFrame, id_column: str = "commentId") -> DataFrame:
-    """Comments with one boolean column ``_is_<signal>`` per rule."""
-    df = numeric_columns(comments, ["likeCount"], fill=0).withColumns(
+def _known(comments: DataFrame) -> DataFrame:
+    """Comments without gaps in likes, text and author."""
+    return numeric_columns(comments, ["likeCount"], fill=0).withColumns(
         {c: F.coalesce(F.col(c), F.lit("")) for c in ("text", "author")}
     )
-    authors = busy_authors(df)
-    df = widen(df, id_column)
-    copies = duplicate_texts(df)
-    rules = df.withColumns({f"_is_{n}": f for n, f in text_flags(F.col("text")).items()})
-    rules = rules.withColumns({"_author": F.col("author"), "_digest": F.when(~T.is_blank(F.col("text")), text_digest(F.col("text")))})
-    with_copies = lookup_join(rules, copies.withColumnRenamed("n", "_copies"), "_digest", "_copies", [id_column])
+
+
+def _row_key(id_column: str) -> Column:
+    """What the flags of a row hang on; a struct is never NULL, so NULL ids meet, too."""
+    return F.struct(F.col(id_column).alias("id"), F.col("author").alias("author"), F.xxhash64("text").alias("text"))
+
+
+def flags_by_row(comments: DataFrame, id_column: str = "commentId") -> DataFrame:
+    """``_row`` and one boolean column ``_is_<signal>`` per rule, once for each different row.
+
+    Texts are reduced to digest and flags where they are read; both lookups work on that narrow
+    table, which is written once and serves the counts of authors and copies, too.
+    """
+    shared_folder(comments.sparkSession)
+    df = _known(comments)
+    rules = {f"_is_{n}": f for n, f in text_flags(F.col("text")).items()}
+    digest = F.when(~T.is_blank(F.col("text")), text_digest(F.col("text")))
+    narrow = df.select(
+        _row_key(id_column).alias("_row"), F.col("author").alias("_author"), "likeCount", digest.alias("_digest"),
+        *[c.alias(n) for n, c in rules.items()],
+    ).checkpoint()
+    copies = narrow.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.count("*").alias("_copies"))
+    copies = copies.where(F.col("_copies") >= COPIES)
+    authors = busy_authors(narrow.withColumnRenamed("_author", "author"))
     authors = authors.withColumnsRenamed({"n": "_comments", "zero": "_zero"})
-    with_both = lookup_join(with_copies, authors, "_author", "_comments", [id_column])
+    rows = narrow.drop("likeCount").distinct()
+    with_copies = lookup_join(rows, copies, "_digest", "_copies", ["_row"])
+    with_both = lookup_join(with_copies, authors, "_author", "_comments", ["_row"])
     return with_both.select(
-        *df.columns,
-        *[f"_is_{n}" for n in text_flags(F.col("text"))],
+        "_row",
+        *rules,
         F.col("_copies").isNotNull().alias("_is_exact_duplicate"),
         F.col("_comments").isNotNull().alias("_is_same_author_many"),
         (F.coalesce("_zero", F.lit(0)) >= AUTHOR_MANY).alias("_is_zero_likes_author"),
     )
 
 
+def flagged(comments: DataFrame, id_column: str = "commentId") -> DataFrame:
+    """Comments with one boolean column ``_is_<signal>`` per rule."""
+    return _known(comments).withColumn("_row", _row_key(id_column)).join(flags_by_row(comments, id_column), "_row").drop("_row")
+
+
 def score_comments(
     comments: DataFrame, near_duplicates: DataFrame | None = None, id_column: str = "commentId"
 ) -> DataFrame:
@@ -123,11 +149,12 @@ def score_comments(
 
     ``near_duplicates`` holds the ids marked by the vector check; without it only rules count.
     """
-    df = flagged(comments, id_column)
+    flags_ = flags_by_row(comments, id_column)
     if near_duplicates is not None:
-        marks = near_duplicates.select(id_column).distinct().withColumn("_near", F.lit(True))
-        df = df.join(marks, id_column, "left").withColumn("_is_near_duplicate", F.col("_near").isNotNull())
-    flags = {n: F.col(f"_is_{n}") for n in WEIGHTS if f"_is_{n}" in df.columns}
-    kept = [c for c in df.columns if not c.startswith("_is_") and c != "_near"]
-    scored = df.select(*kept, total_score(flags).alias("spam_score"), joined_signals(flags).alias("spam_signals"))
-    return scored.withColumn("spam_label", spam_label(F.col("spam_score")))
+        marks = near_duplicates.select(F.col(id_column).alias("_near")).distinct()
+        flags_ = flags_.join(marks, flags_["_row.id"] == marks["_near"], "left")
+        flags_ = flags_.withColumn("_is_near_duplicate", F.col("_near").isNotNull())
+    flags = {n: F.col(f"_is_{n}") for n in WEIGHTS if f"_is_{n}" in flags_.columns}
+    scored = flags_.select("_row", total_score(flags).alias("spam_score"), joined_signals(flags).alias("spam_signals"))
+    scored = scored.withColumn("spam_label", spam_label(F.col("spam_score")))
+    return _known(comments).withColumn("_row", _row_key(id_column)).join(scored, "_row").drop("_row")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
 from reelmetrics.operators.keyphrases import exploded, phrases, tokens
-from reelmetrics.operators.skew import lookup_join, widen
+from reelmetrics.operators.skew import lookup_join
 from reelmetrics.session import shared_folder
 
 # Names of the noise topic and of a topic without terms, k-means settings.
@@ -65,7 +65,10 @@ def assign_topics(
     df: DataFrame, vector_column: str, k: int, restarts: int = 1, max_distance: float | None = None
 ) -> DataFrame:
     """Rows with ``topic_id``; farther than ``max_distance`` from their centre they are noise."""
-    data = _features(df.select(vector_column), vector_column).select("_features").persist()
+    # Starts depend on the order of rows, so rows are dealt and sorted by their own vectors.
+    by = F.xxhash64(vector_column)
+    dealt = df.select(vector_column).repartition(df.sparkSession.sparkContext.defaultParallelism, by).sortWithinPartitions(by)
+    data = _features(dealt, vector_column).select("_features").persist()
     try:
         model = _fit(data, k, restarts)
     finally:
@@ -90,7 +93,7 @@ def topic_terms(
     terms per topic and f the term's frequency over all topics.
     """
     words = tokens(F.coalesce(text_column, F.lit("")), stop_words)
-    texts = widen(docs.where(F.col("topic_id") != NOISE_TOPIC).select("topic_id", text_column))
+    texts = docs.where(F.col("topic_id") != NOISE_TOPIC).select("topic_id", text_column)
     terms = exploded(texts, phrases(words), "term", ["topic_id"])
     shared_folder(docs.sparkSession)
     # Counts are far smaller than the texts and serve three uses; texts are read once.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.functions.coerce import numeric_columns
-from reelmetrics.functions.text import TEXT_SHORT_CHARS, truncate
+from reelmetrics.functions.text import truncate
 from reelmetrics.operators.joins import with_transcripts
 from reelmetrics.operators.keyphrases import keyphrases
 from reelmetrics.operators.ranking import by_views
@@ -17,7 +17,7 @@ def language_table(
     videos: DataFrame,
     transcripts: DataFrame,
     sentiment_of: Callable[[Column], Column],
-    chars: int | None = TEXT_SHORT_CHARS,
+    chars: int | None = None,
     stop_words: tuple[str, ...] = (),
 ) -> DataFrame:
     """Inner join to transcripts, then text_short, keywords and the three sentiment columns."""

@@ -13,13 +13,13 @@ SEARCH_RESPONSE = (
     "items array<struct<id:struct<videoId:string>,snippet:struct<publishedAt:string>>>"
 )
 VIDEO_RESPONSE = (
-    "items array<struct<id:string,"
+    "page_no bigint, items array<struct<id:string,"
     "snippet:struct<channelId:string,title:string,description:string,channelTitle:string,publishedAt:string>,"
     "statistics:struct<viewCount:string,likeCount:string,commentCount:string>,"
     "contentDetails:struct<duration:string>>>"
 )
 CHANNEL_RESPONSE = (
-    "items array<struct<id:string,snippet:struct<description:string,country:string>,"
+    "page_no bigint, items array<struct<id:string,snippet:struct<description:string,country:string>,"
     "statistics:struct<subscriberCount:string,videoCount:string,viewCount:string,"
     "hiddenSubscriberCount:boolean>>>"
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,11 +20,14 @@ RECOMMENDED = {
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for intermediate tables (``spark.checkpoint.dir``).
 
-    Only where it is unset, as in local tests, a temporary folder is made and remembered.
+    Only where it is unset and everything runs in one local process, as in tests, a temporary
+    folder is made and remembered; on a cluster its executors could not see that.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext.getCheckpointDir()
+        if not current and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = current or tempfile.mkdtemp(prefix="reelmetrics-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

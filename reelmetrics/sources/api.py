@@ -55,17 +55,32 @@ def search_items(responses: DataFrame) -> DataFrame:
     )
 
 
-def video_rows(responses: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """The 14 video columns, one row per id, with the search tags joined back."""
-    v = responses.select(F.explode("items").alias("i"))
+def arrived(responses: DataFrame, order: str | None) -> DataFrame:
+    """Items ``i`` of all responses with their arrival: the response, then the place in it.
+
+    ``order`` names the column that counts the responses; without it they count as read.
+    """
+    if order is None and "page_no" in responses.columns:
+        order = "page_no"
+    response = F.col(order) if order else F.monotonically_increasing_id()
+    return responses.withColumn("_response", response).select("_response", F.posexplode("items").alias("_place", "i"))
+
+
+ARRIVAL = ["_response", "_place"]
+
+
+def video_rows(responses: DataFrame, found: DataFrame | None = None, order: str | None = None) -> DataFrame:
+    """The 14 video columns, one row per id (the first to arrive), with the search tags joined back."""
+    v = arrived(responses, order)
     flat = v.select(
+        *ARRIVAL,
         F.col("i.id").alias("videoId"),
         *[F.col(f"i.snippet.{c}").alias(c) for c in ("channelId", "title", "description", "channelTitle", "publishedAt")],
         F.col("i.contentDetails.duration").alias("duration"),
         *[F.col(f"i.statistics.{c}").alias(c) for c in ("viewCount", "likeCount", "commentCount")],
         F.lit(None).cast("string").alias("dislikeCount"),
     )
-    flat = keep_first(flat, ["videoId"], [F.desc_nulls_last("publishedAt"), F.desc_nulls_last("viewCount")])
+    flat = keep_first(flat, ["videoId"], [F.asc_nulls_last(c) for c in ARRIVAL]).drop(*ARRIVAL)
     tags = ["market", "search_query", "language_hint"]
     if found is None:
         tagged = flat.withColumns({t: F.lit(None).cast("string") for t in tags})
@@ -76,10 +91,11 @@ def video_rows(responses: DataFrame, found: DataFrame | None = None) -> DataFram
     return tagged.select(*lead, *tags, *counts)
 
 
-def channel_rows(responses: DataFrame) -> DataFrame:
-    """The 7 channel columns, one row per id; a missing hidden flag means not hidden."""
-    c = responses.select(F.explode("items").alias("i"))
-    flat = c.select(
+def channel_rows(responses: DataFrame, order: str | None = None) -> DataFrame:
+    """The 7 channel columns, one row per id (the first to arrive); a missing hidden flag means
+    not hidden."""
+    flat = arrived(responses, order).select(
+        *ARRIVAL,
         F.col("i.id").alias("channelId"),
         F.col("i.snippet.description").alias("channelDescription"),
         F.col("i.snippet.country").alias("channelCountry"),
@@ -88,7 +104,7 @@ def channel_rows(responses: DataFrame) -> DataFrame:
         F.col("i.statistics.viewCount").alias("channelViewCount"),
         F.coalesce("i.statistics.hiddenSubscriberCount", F.lit(False)).alias("hiddenSubscriberCount"),
     )
-    return keep_first(flat, ["channelId"], [F.desc_nulls_last("subscriberCount"), F.desc_nulls_last("channelViewCount")])
+    return keep_first(flat, ["channelId"], [F.asc_nulls_last(c) for c in ARRIVAL]).drop(*ARRIVAL)
 
 
 def comment_rows(threads: DataFrame) -> DataFrame:

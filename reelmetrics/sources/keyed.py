@@ -1,21 +1,27 @@
-"""Keyed tables: partial upsert of a batch into a versioned Parquet folder.
+"""Keyed tables: partial upsert of a batch into hash buckets of Parquet files.
 
-Each load writes a complete new version beside the old one. Readers take the newest version
-that finished (its ``_SUCCESS`` marker is written last), so a lost job leaves the table as it
-was and a repeated load of the same batch changes nothing.
+A load rewrites only the buckets that hold keys of its batch, in a new folder, and then publishes
+a small manifest that names the folder of every bucket. Readers follow the newest manifest, so a
+lost job leaves the table as it was, a repeated load of the same batch changes nothing, and
+files that a running reader has opened stay where they are until ``vacuum`` is called. A version
+is claimed by creating its manifest file, which only one of two writers can do.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from reelmetrics.operators.dedup import keep_first
-from reelmetrics.operators.skew import fits_broadcast
-from reelmetrics.sources.tables import delete, exists, subfolders
+from reelmetrics.operators.dedup import keep_first, total_order
+from reelmetrics.sources.tables import create_text, delete, files, read_text, subfolders
 
-KEEP_VERSIONS = 2
+BUCKETS = 64
+#: Files a bucket is written in at most, so that no task holds a whole bucket.
+BUCKET_FILES = 8
 
 
 @dataclass(frozen=True)
@@ -31,11 +37,10 @@ def merge_by_key(old: DataFrame, new: DataFrame, key: str, order: str | None = N
     Columns the batch supplies are overwritten, also by NULL; others keep their value. NULL
     keys are skipped; of equal keys in the batch the one with the largest ``order`` counts.
 
-    A batch below the broadcast threshold leaves the stored rows where they are: they are
-    matched in place and only the new keys are appended. Larger ones take a full outer join.
+    The stored rows are matched in place and new keys are appended; whether a side is broadcast
+    is left to Spark.
     """
-    later = [F.desc_nulls_last(order)] if order else [F.asc(key)]
-    batch = keep_first(new.where(F.col(key).isNotNull()), [key], later)
+    batch = keep_first(new.where(F.col(key).isNotNull()), [key], total_order(new, [order] if order else [], (key,)))
     names = [*old.columns, *[c for c in batch.columns if c not in old.columns]]
     stored = old.withColumn("_old", F.lit(True)).alias("o")
     fresh = batch.withColumn("_new", F.lit(True)).alias("n")
@@ -57,49 +62,103 @@ def merge_by_key(old: DataFrame, new: DataFrame, key: str, order: str | None = N
             changed = changed | ~F.col(f"n.{name}").eqNullSafe(before)
     matched = F.col("_old").isNotNull() & F.col("_new").isNotNull()
     flags = [F.col("_old").isNull().alias("_inserted"), (matched & changed).alias("_updated")]
-    if not fits_broadcast(new):
-        return stored.join(fresh, on, "full_outer").select(*[pick(c) for c in names], *flags)
-
-    kept = stored.join(F.broadcast(fresh), on, "left").select(*[pick(c) for c in names], *flags)
-    keys = batch.select(F.col(key).alias("_key"))
-    known = old.join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi").select(F.col(key).alias("_key"))
-    added = batch.join(F.broadcast(known), F.col(key) == F.col("_key"), "left_anti")
+    kept = stored.join(fresh, on, "left").select(*[pick(c) for c in names], *flags)
+    known = old.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    added = batch.join(known, F.col(key) == F.col("_key"), "left_anti")
     return kept.unionByName(
         added.withColumns({"_inserted": F.lit(True), "_updated": F.lit(False)}), allowMissingColumns=True
     )
 
 
+def _bucket(key: str, buckets: int) -> Column:
+    """The bucket of a key, the same for every type that writes it alike."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Finished versions, oldest first."""
-    found = [int(n[1:]) for n in subfolders(spark, root) if n.startswith("v") and n[1:].isdigit()]
-    return sorted(v for v in found if exists(spark, f"{root}/v{v}/_SUCCESS"))
+    """Published versions, oldest first."""
+    names = (n.removesuffix(".json") for n in files(spark, f"{root}/manifest"))
+    return sorted(v for n in names if n.isdigit() and manifest(spark, root, v := int(n)) is not None)
+
+
+def manifest(spark: SparkSession, root: str, version: int) -> dict | None:
+    """What a version consists of; None if its writer did not finish it."""
+    try:
+        return json.loads(read_text(spark, f"{root}/manifest/{version}.json"))
+    except ValueError:
+        return None
+
+
+def _paths(root: str, found: dict) -> list[str]:
+    return [f"{root}/data/{b['folder']}/_bucket={n}" for n, b in sorted(found["buckets"].items(), key=lambda x: int(x[0]))]
 
 
-def read_keyed(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest version, or ``None`` before the first load."""
+def read_keyed(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
+    """A version, the newest if none is named, or ``None`` before the first load."""
     done = versions(spark, root)
-    return spark.read.parquet(f"{root}/v{done[-1]}") if done else None
+    if not done:
+        return None
+    return _read(spark, root, manifest(spark, root, done[-1] if version is None else version))
+
 
+def _read(spark: SparkSession, root: str, found: dict, only: set[int] | None = None) -> DataFrame:
+    schema = StructType.fromJson(found["schema"])
+    paths = [p for p in _paths(root, found) if only is None or int(p.rpartition("=")[2]) in only]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
-def upsert(batch: DataFrame | None, root: str, key: str, order: str | None = None) -> UpsertCounts | None:
-    """Load a batch into the table at ``root`` in one job; no batch or no key column: no-op.
 
-    ``order`` picks among equal keys and is stored like any other column.
+def upsert(
+    batch: DataFrame | None, root: str, key: str, order: str | None = None, buckets: int = BUCKETS
+) -> UpsertCounts | None:
+    """Load a batch into the table at ``root``; no batch, an empty one or no key column: no-op.
+
+    Of equal keys in a batch the one with the largest ``order`` counts, then the one with the
+    larger other columns; ``order`` is stored like any other column. ``buckets`` is fixed by
+    the first load.
     """
     if batch is None or key not in batch.columns:
         return None
     spark = batch.sparkSession
     done = versions(spark, root)
-    old = spark.read.parquet(f"{root}/v{done[-1]}") if done else batch.where(F.lit(False))
-    seen = Observation()
-    merged = merge_by_key(old, batch, key, order).observe(
-        seen,
-        F.count_if("_inserted").alias("inserted"),
-        F.count_if("_updated").alias("updated"),
-        F.count(F.lit(1)).alias("total"),
+    found = manifest(spark, root, done[-1]) if done else {"n": buckets, "buckets": {}, "schema": None}
+    n = found["n"]
+    # At most one row for each bucket.
+    keyed = batch.where(F.col(key).isNotNull())
+    touched = {r["b"] for r in keyed.select(_bucket(key, n).alias("b")).distinct().collect()}
+    if not touched:
+        return None
+    old = _read(spark, root, found, touched) if done else batch.where(F.lit(False))
+    merged = merge_by_key(old, batch, key, order).withColumn("_bucket", _bucket(key, n))
+    folder = uuid.uuid4().hex
+    dealt = merged.repartition("_bucket", F.pmod(F.xxhash64(F.lit(1), F.col(key)), F.lit(BUCKET_FILES)))
+    dealt.write.partitionBy("_bucket").parquet(f"{root}/data/{folder}")
+    # The flags stay in the files, beside the table's own columns; readers don't ask for them.
+    written = spark.read.parquet(f"{root}/data/{folder}")
+    sizes = written.groupBy("_bucket").agg(
+        F.count("*").alias("rows"), F.count_if("_inserted").alias("inserted"), F.count_if("_updated").alias("updated")
     )
-    target = (done[-1] if done else 0) + 1
-    merged.drop("_inserted", "_updated").write.mode("overwrite").parquet(f"{root}/v{target}")
-    for version in done[: -(KEEP_VERSIONS - 1)]:
-        delete(spark, f"{root}/v{version}")
-    return UpsertCounts(**seen.get)
+    counted = sizes.collect()  # one row for each bucket
+    schema = merged.drop("_inserted", "_updated", "_bucket").schema
+    new = {str(r["_bucket"]): {"folder": folder, "rows": r["rows"]} for r in counted}
+    whole = {"n": n, "buckets": found["buckets"] | new, "schema": schema.jsonValue()}
+    if versions(spark, root) != done:
+        raise RuntimeError(f"another load of {root} was published meanwhile; load the batch again")
+    # Numbers of manifests that weren't finished are passed over.
+    names = (f.removesuffix(".json") for f in files(spark, f"{root}/manifest"))
+    last = max((int(f) for f in names if f.isdigit()), default=0)
+    create_text(spark, f"{root}/manifest/{last + 1}.json", json.dumps(whole))
+    return UpsertCounts(
+        sum(r["inserted"] for r in counted), sum(r["updated"] for r in counted), sum(b["rows"] for b in whole["buckets"].values())
+    )
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete manifests but the ``keep`` newest, and folders that none of these names. Call it
+    when no reader of an older version and no load is running."""
+    done = versions(spark, root)
+    for version in done[:-keep]:
+        delete(spark, f"{root}/manifest/{version}.json")
+    used = {b["folder"] for v in done[-keep:] for b in manifest(spark, root, v)["buckets"].values()}
+    for folder in subfolders(spark, f"{root}/data"):
+        if folder not in used:
+            delete(spark, f"{root}/data/{folder}")

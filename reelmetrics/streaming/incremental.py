@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType
 
-from reelmetrics.functions.coerce import LOOKBACK_DAYS, PUBLISHED_BEFORE, look_back, timestamp
+from reelmetrics.functions.coerce import LOOKBACK_DAYS, look_back, timestamp
 from reelmetrics.operators.aggregates import high_water_mark
 from reelmetrics.operators.dedup import keep_last_merge
 from reelmetrics.operators.joins import pending
@@ -19,20 +19,35 @@ def window_start(known: DataFrame, name: str = "publishedAt", days: int = LOOKBA
     return mark.first()["start"]
 
 
-def in_window(items: DataFrame, start: str, end: str = PUBLISHED_BEFORE, name: str = "publishedAt") -> DataFrame:
-    """Items published inside [start, end]; the bounds are literals and prune files."""
+def in_window(
+    items: DataFrame, start: str, end: str | None = None, name: str = "publishedAt", undated: bool = True
+) -> DataFrame:
+    """Items published inside [start, end], without an end all from ``start`` on.
+
+    Items without a readable date can't be shown to be old, so they stay unless ``undated`` is
+    off. The bounds are literals; on a timestamp column they prune files, on text they don't.
+    """
     if isinstance(items.schema[name].dataType, StringType):
         moment = timestamp(F.col(name))
     else:
         moment = F.col(name)
     kind = items.select(moment.alias("m")).schema["m"].dataType.simpleString()
-    low, high = (F.lit(x.replace("T", " ").rstrip("Z")).cast(kind) for x in (start, end))
-    return items.where(moment.between(low, high))
 
 
-def collect_new(known: DataFrame, items: DataFrame, name: str = "publishedAt", days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Items at or after the known mark minus the overlap."""
-    return in_window(items, window_start(known, name, days), name=name)
+    def bound(text: str) -> Column:
+        return F.lit(text.replace("T", " ").rstrip("Z")).cast(kind)
+
+    inside = moment >= bound(start)
+    if end is not None:
+        inside = inside & (moment <= bound(end))
+    return items.where(inside | moment.isNull() if undated else inside)
+
+
+def collect_new(
+    known: DataFrame, items: DataFrame, name: str = "publishedAt", days: int = LOOKBACK_DAYS, end: str | None = None
+) -> DataFrame:
+    """Items at or after the known mark minus the overlap, and undated ones."""
+    return in_window(items, window_start(known, name, days), end, name)
 
 
 def append_pending(

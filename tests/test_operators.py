@@ -195,7 +195,10 @@ def test_scoring_defaults_and_failures(spark):
 
     df = spark.createDataFrame([(1, "good"), (2, " "), (3, None), (4, "boom"), (5, "x" * 600)], "i int, t string").coalesce(1)
     got = {r["i"]: tuple(r["s"]) for r in df.select("i", sentiment_scores(make, F.col("t")).alias("s")).collect()}
-    assert got == {1: ("POS", 0.4, 0.4), 2: ("NEU", 0.0, 0.0), 3: ("NEU", 0.0, 0.0), 4: ("NEU", 0.0, 0.0), 5: ("POS", 51.2, 51.2)}
+    assert got == {1: ("POS", 0.4, 0.4), 2: ("NEU", 0.0, 0.0), 3: ("NEU", 0.0, 0.0), 4: ("NEU", 0.0, 0.0), 5: ("POS", 60.0, 60.0)}
+    failures = spark.sparkContext.accumulator(0)
+    cut = df.select("i", sentiment_scores(make, F.col("t"), chars=512, failures=failures).alias("s")).collect()
+    assert cut[4]["s"]["conf"] == 51.2 and failures.value == 1
 
     def vectors():
         return lambda texts: [[float(len(t))] for t in texts]
@@ -208,3 +211,26 @@ def test_sentiment_only_for_chosen_comments(spark):
     comments = spark.createDataFrame([("v1", "c1", "hi", 3, None)], "videoId string, commentId string, text string, likeCount long, publishedAt string")
     out = enrich_with_comments(base, comments, lambda t: sentiment(F.lit("POS"), F.lit(0.5), t))
     assert {tuple(r) for r in out.collect()} == {("v1", "hi", 3.0, "POS", 0.5, 0.5), ("v2", None, None, None, None, None)}
+
+
+@pytest.mark.parametrize("weight", [None, "n"])
+def test_lookup_join_deals_hot_and_null_keys_to_all_tasks(spark, weight):
+    """Where the rows are after the join: the salt must be part of what is shuffled by."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(100_000).selectExpr("id", "case when id % 20 < 9 then 'hot' when id % 20 < 18 then null else concat('k', id) end as k")
+        right = spark.createDataFrame([("hot", 45_000, "x")], "k string, n int, v string").unionByName(
+            spark.range(100_000).selectExpr("concat('k', id) as k", "1 as n", "'y' as v"))
+        right = right if weight else right.drop("n")
+        joined = lookup_join(left, right, "k", weight, ["id"], hot_keys=4, small=False)
+        placed = joined.select("id", "k", "v", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(placed) == 100_000
+    assert all(r.v == (None if r.k is None else "x" if r.k == "hot" else "y") for r in placed)
+    sizes = {}
+    for r in placed:
+        sizes[r.p] = sizes.get(r.p, 0) + 1
+    assert max(sizes.values()) < 2 * len(placed) / 8

@@ -35,4 +35,4 @@ def test_top_k_needs_no_global_sort(spark):
 
 def test_registry():
     assert set(catalog.ORACLE) <= set(catalog.QUERIES)
-    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"m6_topic_clusters", "m7_small_topics"}
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)

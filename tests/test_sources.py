@@ -96,7 +96,38 @@ def check_upsert(spark, tmp_path):
     assert keyed.upsert(batch, root, "k") == keyed.UpsertCounts(0, 0, 3)
     assert {tuple(r) for r in keyed.read_keyed(spark, root).collect()} == want
     assert keyed.upsert(batch, root, "absent") is None and keyed.upsert(None, root, "k") is None
-    assert len(keyed.versions(spark, root)) == keyed.KEEP_VERSIONS
+    assert keyed.upsert(batch.where("false"), root, "k") is None and len(keyed.versions(spark, root)) == 3
+    keyed.vacuum(spark, root)
+    assert keyed.versions(spark, root) == [2, 3] and {tuple(r) for r in keyed.read_keyed(spark, root).collect()} == want
+
+
+def test_a_load_leaves_other_buckets_alone(spark, tmp_path):
+    root = str(tmp_path / "t")
+    keyed.upsert(spark.range(500).selectExpr("id as k", "id as a"), root, "k", buckets=16)
+    before = keyed.manifest(spark, root, 1)["buckets"]
+    keyed.upsert(spark.createDataFrame([(7, -1)], "k long, a long"), root, "k")
+    after = keyed.manifest(spark, root, 2)["buckets"]
+    assert len(before) == 16 and sum(before[b] != after[b] for b in before) == 1
+    assert {r.k: r.a for r in keyed.read_keyed(spark, root).collect()} == {k: -1 if k == 7 else k for k in range(500)}
+    assert keyed.read_keyed(spark, root, 1).where("a < 0").count() == 0
+
+
+def test_equal_keys_without_an_order_give_the_same_row_each_time(spark, tmp_path):
+    rows = [(1, i % 7, f"t{i % 5}") for i in range(60)]
+    found = set()
+    for n in (1, 3, 8):
+        root = str(tmp_path / str(n))
+        keyed.upsert(spark.createDataFrame(rows[n:] + rows[:n], "k int, a int, b string").repartition(n), root, "k")
+        assert keyed.upsert(spark.createDataFrame(rows, "k int, a int, b string"), root, "k") == keyed.UpsertCounts(0, 0, 1)
+        found.add(tuple(keyed.read_keyed(spark, root).first()))
+    assert found == {(1, 6, "t4")}
+
+
+def test_two_writers_cannot_publish_one_version(spark, tmp_path):
+    root = str(tmp_path / "t")
+    keyed.upsert(spark.createDataFrame([(1, 1)], "k int, a int"), root, "k")
+    with pytest.raises(Exception, match="exists"):
+        tables.create_text(spark, f"{root}/manifest/1.json", "{}")
 
 
 def test_upsert_takes_the_last_of_equal_keys(spark):
@@ -108,8 +139,10 @@ def test_upsert_takes_the_last_of_equal_keys(spark):
 def test_unfinished_version_is_ignored(spark, tmp_path):
     root = str(tmp_path / "table")
     keyed.upsert(spark.createDataFrame([(1, 1)], "k int, a int"), root, "k")
-    (tmp_path / "table" / "v7").mkdir()
+    (tmp_path / "table" / "manifest" / "7.json").write_text('{"n": 64, "buck')
     assert keyed.versions(spark, root) == [1] and keyed.read_keyed(spark, root).count() == 1
+    keyed.upsert(spark.createDataFrame([(2, 1)], "k int, a int"), root, "k")
+    assert keyed.versions(spark, root) == [1, 8] and keyed.read_keyed(spark, root).count() == 2
 
 
 def test_windowed_collection(spark):
@@ -117,7 +150,25 @@ def test_windowed_collection(spark):
     assert incremental.window_start(known) == "2024-03-01T00:00:00Z"
     assert incremental.window_start(known.where("false")) == "2015-01-01T00:00:00Z"
     items = spark.createDataFrame([("2024-02-29T23:59:59Z",), ("2024-03-01T00:00:00Z",), ("2027-01-01T00:00:00Z",), (None,)], "publishedAt string")
-    assert [r[0] for r in incremental.collect_new(known, items).collect()] == ["2024-03-01T00:00:00Z"]
+    assert [r[0] for r in incremental.collect_new(known, items).collect()] == ["2024-03-01T00:00:00Z", "2027-01-01T00:00:00Z", None]
+    got = incremental.in_window(items, "2024-03-01T00:00:00Z", "2026-12-31T23:59:59Z", undated=False).collect()
+    assert [r[0] for r in got] == ["2024-03-01T00:00:00Z"]
+
+
+def test_csv_cells_that_count_as_missing(spark, tmp_path):
+    (tmp_path / "na.csv").write_text('a,b,c\nNA,null,NaN\nn/a,x,1.5\nNAN,"",bad\n')
+    got = [tuple(r) for r in tables.read_csv(spark, str(tmp_path / "na.csv"), "a string, b string, c double").collect()]
+    assert got == [(None, None, None), (None, "x", 1.5), ("NAN", None, None)]
+
+
+def test_first_arrival_counts(spark):
+    item = "struct<id:string,statistics:struct<viewCount:string>>"
+    rows = [(1, [("v", ("10",)), ("v", ("9",))]), (2, [("v", ("99",)), ("w", ("5",))])]
+    found = spark.createDataFrame(rows, f"page_no int, items array<{item}>")
+    flat = spark.createDataFrame([], schemas.VIDEO_RESPONSE).unionByName(
+        found.selectExpr("cast(page_no as bigint) page_no", "from_json(to_json(items), 'array<struct<id:string,snippet:struct<channelId:string,title:string,description:string,channelTitle:string,publishedAt:string>,statistics:struct<viewCount:string,likeCount:string,commentCount:string>,contentDetails:struct<duration:string>>>') as items")
+    )
+    assert {(r.videoId, r.viewCount) for r in api.video_rows(flat).collect()} == {("v", "10"), ("w", "5")}
 
 
 def test_append_pending_is_idempotent(spark):
