@@ -18,6 +18,8 @@ from reelmetrics.operators.enrich import enrich_with_comments
 from reelmetrics.operators.entities import extract_brands
 from reelmetrics.operators.keyphrases import keyphrases
 from reelmetrics.operators.neighbors import near_duplicates
+from reelmetrics.functions.brands import MODEL_PATTERNS, SERIES_PATTERNS
+from reelmetrics.plans.language import language_table
 from reelmetrics.operators.scoring import embedding, entity_spans, sentiment_scores
 from reelmetrics.operators.spam import score_comments
 from reelmetrics.plans.reports import analytic_base, bi_export
@@ -143,6 +145,30 @@ def keyphrase_table(spark, d):
     return keyphrases(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+@query(
+    "nlp_language_table",
+    f"""with {SQL_TERMS},
+    tf as (select doc_id, phrase, count(*) as tf from terms group by 1, 2),
+    df as (select phrase, count(*) as df from tf group by 1),
+    best as (
+      select doc_id, phrase, round(tf * (ln((1.0 + (select count(*) from documents))::double / (1.0 + df)) + 1.0), 9) as r
+      from tf join df using (phrase) qualify row_number() over (partition by doc_id order by r desc, phrase) <= 5),
+    keys as (select doc_id, string_agg(phrase, '; ' order by r desc, phrase) as keywords from best group by 1),
+    s as (select doc_id, length(text) - length(replace(text, 'a', '')) > length(text) - length(replace(text, 'e', '')) as pos,
+      length(text) % 64 / 64 as conf from documents)
+    select doc_id as "videoId", n_chars::double as "viewCount", lang as language, text as text_short, coalesce(keywords, '') as keywords,
+      case when pos then 'POS' else 'NEG' end as sent_label, conf as sent_conf, case when pos then conf else 0.0 - conf end as sent_value
+    from documents left join keys using (doc_id) join s using (doc_id)""",
+)
+def language_stage(spark, d):
+    """The whole language stage over documents as transcripts of videos of the same ids."""
+    docs = table(spark, d, "documents")
+    videos = docs.select(F.col("doc_id").alias("videoId"), F.col("n_chars").cast("string").alias("viewCount"))
+    transcripts = docs.select(F.col("doc_id").alias("videoId"), F.col("lang").alias("language"), "text")
+    done = language_table(videos, transcripts, lambda text: sentiment_scores(toy_sentiment, text))
+    return done.drop("text").withColumn("sent_value", F.col("sent_value") + 0.0)
+
+
 def overview_facts(overview, most: int):
     """What holds of an overview whatever the clusters are."""
     return overview.agg(
@@ -265,6 +291,28 @@ def brand_documents(spark, d):
     return out.select("doc_id", "brand_primary", "brands_text", "brand_source")
 
 
+def sql_first_hit(patterns: tuple[str, ...]) -> str:
+    """The first match of the first pattern that has one; the texts are ASCII and lower case."""
+    hits = ", ".join(f"nullif(regexp_extract(t, '{p}'), '')" for p in patterns)
+    return f"coalesce({hits}, 'unknown')"
+
+
+@query(
+    "m9_default_patterns",
+    f"""with t as (select p_partkey, lower(p_name || case p_partkey % 6 when 0 then ' Galaxy S' || p_size || ' Ultra'
+        when 1 then ' redmi note ' || p_size || ' Pro' when 2 then ' iPhone ' || p_size || ' mini' when 3 then ' Moto G' || p_size
+        when 4 then ' A' || p_size || ' Note' || p_size else '' end) as t from part)
+    select p_partkey, {sql_first_hit(SERIES_PATTERNS)} as brand_series, {sql_first_hit(MODEL_PATTERNS)} as model_hint from t""",
+)
+def default_patterns(spark, d):
+    title = F.expr(
+        """p_name || case p_partkey % 6 when 0 then ' Galaxy S' || p_size || ' Ultra' when 1 then ' redmi note ' || p_size || ' Pro'
+        when 2 then ' iPhone ' || p_size || ' mini' when 3 then ' Moto G' || p_size when 4 then ' A' || p_size || ' Note' || p_size else '' end"""
+    )
+    out = extract_brands(table(spark, d, "part").select("p_partkey", title.alias("title")))
+    return out.select("p_partkey", "brand_series", "model_hint")
+
+
 @query(
     "m10_analytic_base",
     f"""with {VIDEOS}, labels_of as (

@@ -34,6 +34,7 @@ MIN_GROUP = 2
 
 MAX_PIVOTS = 1024
 BLOCK_ROWS = 2048
+PROBED_ROWS = 64
 BANDS = 16
 ANGLE_SLACK = 1e-3  # float32 error in angles, on the safe side
 
@@ -165,10 +166,13 @@ def _probe_cells(rows: DataFrame, pivots: np.ndarray, radius: np.ndarray, thresh
         for batch in batches:
             if batch.empty:
                 continue
-            away = _angles(_matrix(batch["unit"]) @ pivots.T)
-            near = batch["angle"].to_numpy()[:, None] + 2 * reach
-            row, cell = np.nonzero((away <= radius[None, :] + reach) & (away <= near))
-            yield batch.iloc[row].assign(t_cell=cell.astype(np.int64))
+            # A few rows at a time: each may be sent to every cell.
+            for lo in range(0, len(batch), PROBED_ROWS):
+                part = batch.iloc[lo : lo + PROBED_ROWS]
+                away = _angles(_matrix(part["unit"]) @ pivots.T)
+                near = part["angle"].to_numpy()[:, None] + 2 * reach
+                row, cell = np.nonzero((away <= radius[None, :] + reach) & (away <= near))
+                yield part.iloc[row].assign(t_cell=cell.astype(np.int64))
 
     return rows.mapInPandas(probe, _plus(rows, "t_cell"))
 

@@ -1,5 +1,7 @@
 """Physical plans: what must and must not be in them."""
 
+import re
+
 import pytest
 
 import catalog
@@ -29,6 +31,27 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in text
 
 
+def shuffled(spark, name, column):
+    """Exchanges that carry a column, with automatic broadcasts off."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.QUERIES[name](spark, SMALL)
+        text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    nodes = re.findall(r"^\(\d+\) Exchange\nInput(?: \[\d+\])?: \[(.*?)\]\n", text, re.MULTILINE)
+    assert nodes
+    return sum(bool(re.search(rf"\b{column}#", n)) for n in nodes)
+
+
+def test_comment_texts_are_shuffled_once(spark):
+    assert shuffled(spark, "m1_spam_rules_pages", "text") <= 1
+
+
+def test_keyphrases_never_shuffle_texts(spark):
+    assert not any(shuffled(spark, "m5_keyphrases", c) for c in ("text", "_w", "phrases"))
+
+
 def test_top_k_needs_no_global_sort(spark):
     assert "TakeOrderedAndProject" in plan(spark, "t2_top_videos")
 
