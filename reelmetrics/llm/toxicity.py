@@ -36,6 +36,8 @@ LEAST_SHARE, LEAST_ODDS, LEAST_EVIDENCE = 0.01, 2.0, 25.0
 #: and the kernel value that counts as none at all.
 DECAY, SPAN, LEAST = 0.6, 5, 0.55
 KEPT_WORDS = 400_000
+#: Training texts that are described at once.
+DESCRIBED = 250
 FOLDS, HELD_OUT = 5, 0
 
 PATTERNS = tuple((a, b, DECAY ** (b - 2)) for a, b in combinations(range(1, SPAN), 2))
@@ -200,28 +202,48 @@ def choose_landmarks(texts: list[str], toxic: np.ndarray, most: int = LANDMARKS)
     copies of one document share tells nothing, so nothing counts more often than there are
     different words before it.
     """
-    counts = {True: Counter(), False: Counter()}
-    forms: dict[str, list[str]] = {}
+    share = max(1, int(toxic.sum())), max(1, len(toxic) - int(toxic.sum()))
+    least = max(3.0, LEAST_SHARE * share[0])
+    bad, good = ([t for t, y in zip(texts, toxic, strict=True) if bool(y) is kind] for kind in (True, False))
+    plains: dict[str, str] = {}
+
+    def plain_words(text: str) -> list[str]:
+        return [plains[w] if w in plains else plains.setdefault(w, plain(w)) for w in text.split()]
+
+    # Stems grow by a character only where there are documents enough for the shorter one.
+    counts: Counter = Counter()
+    live: set[str] | None = None
+    for size in STEMS:
+        grown: Counter = Counter()
+        for text in bad:
+            grown.update({p[:size] for p in plain_words(text) if len(p) >= size and (live is None or p[: size - 1] in live)})
+        live = {stem for stem, n in grown.items() if n >= least}
+        counts.update({f"{stem}-": grown[stem] for stem in live})
+    words: Counter = Counter()
+    for text in bad:
+        words.update({p for p in plain_words(text) if len(p) >= 3})
+    counts.update({word: n for word, n in words.items() if n >= least})
+    del words
+
+    def forms(p: str) -> list[str]:
+        return [f for f in (p, *(f"{p[:n]}-" for n in STEMS if n <= len(p))) if f in counts]
+
     contexts: dict[str, set[str]] = {}
-    for text, y in zip(texts, toxic, strict=True):
-        words = text.split()
-        own = set()
-        for word in set(words):
-            if word not in forms:
-                p = plain(word)
-                forms[word] = [*(f"{p[:n]}-" for n in STEMS if n <= len(p)), p] if len(p) >= 3 else []
-            own.update(forms[word])
-        counts[bool(y)].update(own)
-        if y:
-            for before, word in {*zip(["", *words], words)}:
-                for form in forms[word]:
-                    contexts.setdefault(form, set()).add(before)
-    share = max(1, toxic.sum()), max(1, len(toxic) - toxic.sum())
+    for text in bad:
+        before = ""
+        for p in plain_words(text):
+            for form in forms(p):
+                contexts.setdefault(form, set()).add(before)
+            before = p
+    plains.clear()
+    clean: Counter = Counter()
+    for text in good:
+        clean.update({form for w in set(text.split()) for form in forms(plain(w))})
     rated = []
-    for form, n in counts[True].items():
+    for form, n in counts.items():
         n = min(n, len(contexts[form]))
-        odds = np.log((n + 0.5) / share[0]) - np.log((counts[False][form] + 0.5) / share[1])
-        if n >= LEAST_SHARE * share[0] and odds > LEAST_ODDS and n * odds >= LEAST_EVIDENCE:
+        odds = np.log((n + 0.5) / share[0]) - np.log((clean[form] + 0.5) / share[1])
+        if n >= least and odds > LEAST_ODDS and n * odds >= LEAST_EVIDENCE:
             rated.append((-round(n * odds, 6), -len(form), form))
     chosen: list[str] = []
     for *_, form in sorted(rated):
@@ -245,7 +267,9 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 3, cost: float = 4.
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     root = vectors * (1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     scorer = Scorer(kernel, among.max(axis=0), -1.0, np.zeros(4))
-    described = scorer.describe(texts)
+    described = []
+    for lo in range(0, len(texts), DESCRIBED):
+        described += scorer.describe(texts[lo : lo + DESCRIBED])
     owner = np.repeat(np.arange(len(texts)), [len(d) for _, d in described])
     rows = [v for _, d in described for v in d]
     data = np.concatenate([np.stack(rows) @ root, np.ones((len(rows), 1))], axis=1) if rows else np.zeros((0, len(landmarks) + 1))
