@@ -6,12 +6,11 @@ vectors at hand ``rerank`` orders the candidates by cosine instead.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
-from heapq import nlargest
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
@@ -53,7 +52,7 @@ def phrase_spread(lists: DataFrame) -> DataFrame:
 
 
 def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
-    """(id, phrase, tf) of the phrases that can still be among the best ``top`` of their text; exact.
+    """From (id, _w, _total), words and number of texts: (id, phrase, tf) of the phrases that can still be among the best ``top`` of their text; exact.
 
     Phrases are counted where the text is read. Weights lie between 1 and the largest idf of
     ``_total`` texts, so a phrase whose count times that is below the count of the text's
@@ -63,19 +62,37 @@ def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, phrase, tf = [], [], []
-            for i, (found, total) in enumerate(zip(batch.column("phrases").to_pylist(), batch.column("_total").to_pylist(), strict=True)):
-                counts = Counter(found)
-                bar = nlargest(top, counts.values())[-1] - 1e-6 if len(counts) >= top else 0
-                most = math.log((1 + total) / 2) + 1
-                kept = {p: n for p, n in counts.items() if n * most >= bar}
-                row += [i] * len(kept)
-                phrase += kept
-                tf += kept.values()
-            ids = batch.column(id_column).take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(phrase, pa.string()), pa.array(tf, pa.int64())], [id_column, "phrase", "tf"])
-
-    return lists.select(id_column, "phrases", "_total").mapInArrow(count, f"`{id_column}` {kind}, phrase string, tf bigint")
+            words = batch.column("_w")
+            found = words.flatten().dictionary_encode()
+            if not len(found):
+                continue
+            ids, vocabulary = found.indices.to_numpy().astype(np.int64), found.dictionary
+            size = len(vocabulary)
+            row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
+            pair = np.flatnonzero(row[1:] == row[:-1])
+            # Words have the codes below size, pairs those from there on.
+            codes = np.concatenate((ids, size + ids[pair] * size + ids[pair + 1]))
+            rows = np.concatenate((row, row[pair]))
+            by = np.lexsort((codes, rows))
+            rows, codes = rows[by], codes[by]
+            first = np.flatnonzero(np.append(True, (np.diff(rows) != 0) | (np.diff(codes) != 0)))
+            tf = np.diff(np.append(first, len(rows)))
+            rows, codes = rows[first], codes[first]
+            start = np.searchsorted(rows, np.arange(len(words) + 1))
+            ordered = tf[np.lexsort((-tf, rows))]
+            enough = np.diff(start) >= top
+            bar = np.zeros(len(words))
+            bar[enough] = ordered[start[:-1][enough] + top - 1] - 1e-6
+            most = np.log((1 + batch.column("_total").to_numpy()) / 2) + 1
+            kept = tf * most[rows] >= bar[rows]
+            rows, codes, tf = rows[kept], codes[kept], tf[kept]
+            two = codes >= size
+            left = vocabulary.take(pa.array(np.where(two, (codes - size) // size, codes)))
+            right = vocabulary.take(pa.array(np.where(two, (codes - size) % size, 0)))
+            phrase = pc.if_else(pa.array(two), pc.binary_join_element_wise(left, right, " "), left)
+            yield pa.RecordBatch.from_arrays([batch.column(id_column).take(pa.array(rows)), phrase, pa.array(tf)], [id_column, "phrase", "tf"])
+
+    return lists.select(id_column, "_w", "_total").mapInArrow(count, f"`{id_column}` {kind}, phrase string, tf bigint")
 
 
 def phrase_weights(candidates: DataFrame, spread: DataFrame, id_column: str, total: Column) -> DataFrame:
@@ -101,9 +118,9 @@ def keyphrases(
     # A scalar subquery: the number of texts is found when the query runs.
     total = docs.agg(F.count("*").alias("n")).scalar()
     texts = docs.where(F.col(id_column).isNotNull()).select(id_column, tokens(F.coalesce(text_column, F.lit("")), stop_words).alias("_w"))
-    lists = texts.select(id_column, phrases(F.col("_w")).alias("phrases"), total.alias("_total"))
-    candidates = contenders(lists, id_column, top)
-    scored = phrase_weights(candidates, phrase_spread(lists), id_column, total)
+    candidates = contenders(texts.withColumn("_total", total), id_column, top)
+    spread = phrase_spread(texts.select(phrases(F.col("_w")).alias("phrases")))
+    scored = phrase_weights(candidates, spread, id_column, total)
     ranked = scored.withColumn("_r", F.round("score", digits))
     best = top_per_key(ranked.select(id_column, "phrase", "_r"), [id_column], [F.desc("_r"), F.asc("phrase")], top)
     return _joined(docs.select(id_column), best, id_column)
