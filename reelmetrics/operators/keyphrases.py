@@ -45,10 +45,42 @@ def exploded(df: DataFrame, items: Column, name: str, keep: list[str]) -> DataFr
     return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
 
 
-def phrase_spread(lists: DataFrame) -> DataFrame:
-    """(phrase, df): in how many texts each phrase occurs."""
-    once = exploded(lists, F.array_distinct("phrases"), "phrase", [])
-    return once.groupBy("phrase").agg(F.count("*").alias("df"))
+def _coded(words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.StringArray]:
+    """Row, code and count of each different phrase of each row, sorted by row and code, and the
+    vocabulary: words have the codes below its size, pairs of words those from there on."""
+    found = words.flatten().dictionary_encode()
+    ids, size = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
+    row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
+    pair = np.flatnonzero(row[1:] == row[:-1])
+    codes = np.concatenate((ids, size + ids[pair] * size + ids[pair + 1]))
+    rows = np.concatenate((row, row[pair]))
+    by = np.lexsort((codes, rows))
+    rows, codes = rows[by], codes[by]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(rows)), bool), (np.diff(rows) != 0) | (np.diff(codes) != 0))))
+    return rows[first], codes[first], np.diff(np.append(first, len(rows))), found.dictionary
+
+
+def _said(codes: np.ndarray, vocabulary: pa.StringArray) -> pa.StringArray:
+    size = max(1, len(vocabulary))
+    two = codes >= size
+    left = vocabulary.take(pa.array(np.where(two, (codes - size) // size, codes)))
+    right = vocabulary.take(pa.array(np.where(two, (codes - size) % size, codes)))
+    return pc.if_else(pa.array(two), pc.binary_join_element_wise(left, right, " "), left)
+
+
+def phrase_spread(texts: DataFrame) -> DataFrame:
+    """(phrase, df) from the words ``_w`` of texts: in how many of them each phrase occurs.
+
+    Phrases are counted over each batch of texts before they are shuffled.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, codes, _, vocabulary = _coded(batch.column("_w"))
+            codes, n = np.unique(codes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([_said(codes, vocabulary), pa.array(n, pa.int64())], ["phrase", "n"])
+
+    return texts.select("_w").mapInArrow(count, "phrase string, n bigint").groupBy("phrase").agg(F.sum("n").alias("df"))
 
 
 def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
@@ -63,21 +95,9 @@ def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("_w")
-            found = words.flatten().dictionary_encode()
-            if not len(found):
+            rows, codes, tf, vocabulary = _coded(words)
+            if not len(rows):
                 continue
-            ids, vocabulary = found.indices.to_numpy().astype(np.int64), found.dictionary
-            size = len(vocabulary)
-            row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
-            pair = np.flatnonzero(row[1:] == row[:-1])
-            # Words have the codes below size, pairs those from there on.
-            codes = np.concatenate((ids, size + ids[pair] * size + ids[pair + 1]))
-            rows = np.concatenate((row, row[pair]))
-            by = np.lexsort((codes, rows))
-            rows, codes = rows[by], codes[by]
-            first = np.flatnonzero(np.append(True, (np.diff(rows) != 0) | (np.diff(codes) != 0)))
-            tf = np.diff(np.append(first, len(rows)))
-            rows, codes = rows[first], codes[first]
             start = np.searchsorted(rows, np.arange(len(words) + 1))
             ordered = tf[np.lexsort((-tf, rows))]
             enough = np.diff(start) >= top
@@ -86,10 +106,7 @@ def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
             most = np.log((1 + batch.column("_total").to_numpy()) / 2) + 1
             kept = tf * most[rows] >= bar[rows]
             rows, codes, tf = rows[kept], codes[kept], tf[kept]
-            two = codes >= size
-            left = vocabulary.take(pa.array(np.where(two, (codes - size) // size, codes)))
-            right = vocabulary.take(pa.array(np.where(two, (codes - size) % size, 0)))
-            phrase = pc.if_else(pa.array(two), pc.binary_join_element_wise(left, right, " "), left)
+            phrase = _said(codes, vocabulary)
             yield pa.RecordBatch.from_arrays([batch.column(id_column).take(pa.array(rows)), phrase, pa.array(tf)], [id_column, "phrase", "tf"])
 
     return lists.select(id_column, "_w", "_total").mapInArrow(count, f"`{id_column}` {kind}, phrase string, tf bigint")
@@ -119,7 +136,7 @@ def keyphrases(
     total = docs.agg(F.count("*").alias("n")).scalar()
     texts = docs.where(F.col(id_column).isNotNull()).select(id_column, tokens(F.coalesce(text_column, F.lit("")), stop_words).alias("_w"))
     candidates = contenders(texts.withColumn("_total", total), id_column, top)
-    spread = phrase_spread(texts.select(phrases(F.col("_w")).alias("phrases")))
+    spread = phrase_spread(texts)
     scored = phrase_weights(candidates, spread, id_column, total)
     ranked = scored.withColumn("_r", F.round("score", digits))
     best = top_per_key(ranked.select(id_column, "phrase", "_r"), [id_column], [F.desc("_r"), F.asc("phrase")], top)
