@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmetrics.llm.common import table
 from reelmetrics.llm.decontaminate import drop_contaminated
-from reelmetrics.llm.line_chunks import drop_repeated_chunks
+from reelmetrics.llm.line_chunks import drop_repeated_passages
 from reelmetrics.llm.queries import encoded_documents
 from reelmetrics.llm.simhash import keep_one
 from reelmetrics.llm.toxicity import toxicity, toxicity_model
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without chunks of lines that an earlier one has; n_chars is what is left."""
-    done = drop_repeated_chunks(docs)
+    """All documents, without passages of lines that an earlier one has; n_chars is what is left."""
+    done = drop_repeated_passages(docs)
     n_chars = F.when(F.col("n_chunks_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return done.withColumn("n_chars", n_chars).select(*(f"`{c}`" for c in docs.columns))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelmetrics.llm.common import fold, table
 from reelmetrics.llm.decontaminate import overlaps
 from reelmetrics.llm.html_text import extract_text
-from reelmetrics.llm.line_chunks import drop_repeated_chunks
+from reelmetrics.llm.line_chunks import drop_repeated_passages
 from reelmetrics.llm.pii import personal_data
 from reelmetrics.llm.quality import quality, quality_model
 from reelmetrics.llm.simhash import near_duplicates
@@ -61,7 +61,7 @@ def op3_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    done = drop_repeated_chunks(table(spark, d, "documents"))
+    done = drop_repeated_passages(table(spark, d, "documents"))
     return done.select("doc_id", "text", "n_chunks_removed", "n_lines_removed")
 
 

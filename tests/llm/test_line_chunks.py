@@ -4,7 +4,7 @@ import numpy as np
 from cases import no_documents, odd_documents
 
 from reelmetrics.llm.common import BASE, mix, span_hashes
-from reelmetrics.llm.line_chunks import drop_repeated_chunks
+from reelmetrics.llm.line_chunks import drop_repeated_chunks, drop_repeated_passages
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -76,3 +76,60 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert drop_repeated_chunks(no_documents(spark)).collect() == []
+
+
+def brute_passages(docs: list[tuple[int, str]]) -> dict:
+    """Lines in a chunk, or in two neighbouring lines with text, that an earlier place has."""
+    first, out = {}, {}
+    for i, text in sorted(docs):
+        lines, parts = chunks(text)
+        said = [k for k, x in enumerate(lines) if x.strip(" \t\n\r\x0b\x0c")]
+        gone = set()
+        for a, b in sorted([*parts, *((a, b + 1) for a, b in zip(said, said[1:]))]):
+            owner, at = first.setdefault("\n".join(lines[a:b]), (i, a))
+            if (owner, at) != (i, a):
+                gone |= set(range(max(a, at + b - a) if owner == i else a, b))
+        runs = sum(k - 1 not in gone for k in gone)
+        out[i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), runs, len(gone))
+    return out
+
+
+def test_passages_of_every_length_go_whole(spark):
+    docs = []
+    for n in range(1, 13):
+        for k in range(4):
+            passage = [f"passage {n}.{k} line {j}" for j in range(n)]
+            for copy in range(2):
+                own = [[f"own {n} {k} {copy} {side} {j}" for j in range((k + 2 * side + copy) % 4)] for side in (0, 1)]
+                docs.append((1000 * copy + 10 * n + k, "\n".join(own[0] + passage + own[1])))
+    own = found(drop_repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert own == brute_passages(docs)
+    for i, text in docs:
+        n = i % 1000 // 10
+        assert own[i][2] == (n if i >= 1000 and n > 1 else 0)
+        assert all(x in own[i][0].split("\n") for x in text.split("\n") if x.startswith("own"))
+
+
+def test_passages_with_blank_and_repeated_lines(spark):
+    docs = [
+        (0, "a\n\n\nb\nc"), (1, "x\na\n\n\nb\ny"), (2, "a\n"), (3, "q\n\na\n\nr"), (4, "z\nz\nz\nz\nend"), (5, "s\nt\ns\nt\ns\nt"), (6, ""), (7, "\n\n"), (8, "\n\n"),
+        (9, "b\nc\nd"), (10, "c\nd\n"),
+    ]
+    own = found(drop_repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert own == brute_passages(docs)
+    assert own[1][0] == "x\ny" and own[3][2] == 0 and own[4][0] == "z\nz\nend" and own[5][0] == "s\nt" and own[9][0] == "d"
+
+
+def test_passages_of_the_whole_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    own = found(drop_repeated_passages(docs))
+    assert own == brute_passages([(r.doc_id, r.text) for r in docs.collect()])
+    assert sum(n for *_, n in own.values()) >= sum(n for *_, n in found(drop_repeated_chunks(docs)).values())
+
+
+def test_passages_of_odd_rows(spark):
+    docs = odd_documents(spark)
+    done = drop_repeated_passages(docs)
+    assert done.columns == [*docs.columns, "n_chunks_removed", "n_lines_removed"] and done.count() == docs.count()
+    assert sorted((r.doc_id, r.n_lines_removed) for r in done.where("n_lines_removed > 0").collect()) == [(10, 4)]
+    assert drop_repeated_passages(no_documents(spark)).collect() == []
