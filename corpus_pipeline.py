@@ -35,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ against an overlap without hiding it.
 from __future__ import annotations
 
 import math
+import unicodedata
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,24 +28,73 @@ MIN_WORDS = 5
 MASKS = 3
 
 
+#: Code points from here on hold no letters or digits.
+CODES = 0x32400
+#: Scripts written without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
+UNSPACED = (
+    (0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3040, 0x3100), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000),
+    (0xA9E0, 0xAA00), (0xAA60, 0xAA80), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, CODES),
+)
+APART, INSIDE, SINGLE, UNSEEN = range(4)
+
+
+def _characters() -> tuple[bytes, np.ndarray, np.ndarray]:
+    """What each code point is to words, packed (it goes with every task), and the capitals with
+    their small letters."""
+    kind, low = np.zeros(CODES + 1, np.uint8), np.arange(CODES + 1, dtype=np.uint32)
+    for c in range(CODES):
+        category = unicodedata.category(chr(c))
+        if category[0] in "LMN":
+            kind[c] = INSIDE
+            small = chr(c).lower()
+            low[c] = ord(small) if len(small) == 1 else c
+        elif category == "Cf" and c != 0x200B:
+            kind[c] = UNSEEN
+    for begin, end in UNSPACED:
+        kind[begin:end][kind[begin:end] == INSIDE] = SINGLE
+    capitals = np.flatnonzero(low != np.arange(CODES + 1))
+    return zlib.compress(kind.tobytes()), capitals, low[capitals]
+
+
+KINDS, CAPITALS, SMALL = _characters()
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes, CODES for all from there on, and where each begins."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    wide = np.concatenate((data, np.zeros(3, np.uint8)))
+    lead = wide[at].astype(np.uint32)
+    out = lead.copy()
+    for size, (least, mask) in enumerate(((0xC0, 0x1F), (0xE0, 0x0F), (0xF0, 0x07)), 1):
+        own = np.flatnonzero(lead >= least)
+        code = lead[own] & np.uint32(mask)
+        for k in range(1, size + 1):
+            code = code << np.uint32(6) | (wide[at[own] + k] & np.uint32(0x3F))
+        out[own] = code
+    return np.minimum(out, np.uint32(CODES)), at
+
+
 def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and the n + 1 offsets of the texts in them.
 
-    Words are runs of ASCII letters and digits and of other characters beyond ASCII; the
-    letters A to Z and the Latin-1 capitals count as small ones.
+    Words are runs of Unicode letters, marks and digits; in scripts without spaces between words
+    each character is one. Capitals count as small letters, and characters that aren't seen
+    (soft hyphens, joiners, direction marks) as nothing.
     """
     data, at = flat(texts)
-    upper = (data >= 65) & (data <= 90)
-    accented = np.zeros(len(data), bool)
-    accented[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    low = data + ((upper | accented) * np.uint8(32)).astype(np.uint8)
-    inside = (low >= 128) | ((low >= 97) & (low <= 122)) | ((low >= 48) & (low <= 57))
-    before = np.concatenate(([False], inside[:-1]))
-    after = np.concatenate((inside[1:], [False]))
-    full = at[1:] > at[:-1]
-    before[at[:-1][full]] = False
-    after[at[1:][full] - 1] = False
-    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    codes, begin = code_points(data)
+    kinds, small = np.frombuffer(zlib.decompress(KINDS), np.uint8), np.arange(CODES + 1, dtype=np.uint32)
+    small[CAPITALS] = SMALL
+    seen = np.flatnonzero(kinds[codes] != UNSEEN)
+    codes, begin = codes[seen], begin[seen]
+    kind, low = kinds[codes], small[codes]
+    inside, single = kind != APART, kind == SINGLE
+    at = np.searchsorted(begin, at)
+    # Where a word can't go on from the character before.
+    new = np.ones(len(kind) + 1, bool)
+    new[1:-1] = ~(inside[1:] & inside[:-1]) | single[1:] | single[:-1]
+    new[at] = True
+    starts, ends = np.flatnonzero(inside & new[:-1]), np.flatnonzero(inside & new[1:]) + 1
     return span_hashes(low, starts, ends), np.searchsorted(starts, at)
 
 
@@ -115,6 +166,37 @@ def _item_seeds(items: DataFrame, families: dict[int, list[int]], masks: list[tu
     return items.select("item_uid", "item").mapInArrow(run, "h long, item_uid long, at long")
 
 
+def _whole(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The first place of each item in a text as it stands; for items of a few words."""
+    sizes = sorted(r["n"] for r in items.select(F.size("item").alias("n")).distinct().collect())
+    masks = [tuple(range(n)) for n in sizes]
+    keys = _item_seeds(items, {n: [k] for k, n in enumerate(sizes)}, masks, max(sizes)).select("h", "item_uid")
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(keys.select("h").distinct()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            words, at = text_words(batch.column("text"))
+            for mask in masks:
+                p, h = seeds(words, at, mask)
+                hit = may_hold(shared.value, h)
+                p, h = p[hit], h[hit]
+                doc = np.searchsorted(at, p, side="right") - 1
+                by = np.lexsort((p, h, doc))
+                p, h, doc = p[by], h[by], doc[by]
+                first = np.flatnonzero(np.concatenate(([True], (np.diff(doc) != 0) | (h[1:] != h[:-1])))) if len(p) else p
+                p, h, doc = p[first], h[first], doc[first]
+                index = (p[:, None] + np.arange(len(mask))).ravel()
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * len(mask)), pa.array(words[index].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(doc)), pa.array(p - at[doc]), pa.array(h.view(np.int64)), lists], ["doc_id", "first_word", "h", "words"]
+                )
+
+    found = docs.mapInArrow(places, "doc_id long, first_word long, h long, words array<long>")
+    size = F.size("item").cast("long")
+    same = found.join(keys.join(items, "item_uid"), "h").where(F.col("words") == F.col("item"))
+    return same.select("doc_id", "item_id", "first_word", F.lit(0).cast("long").alias("item_word"), size.alias("n_equal"), size.alias("n_words"))
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -125,6 +207,7 @@ def overlaps(
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
+    short_items: bool = False,
 ) -> DataFrame:
     """doc_id, item_id, first_word, item_word, n_equal and n_words for every text that overlaps an item.
 
@@ -133,14 +216,16 @@ def overlaps(
     of as many words of the text. The overlap with the most equal words is given, of ties the
     first in the text and then in the item; first_word and item_word count from 0.
 
-    Items of fewer than ``min_words`` words, empty and null ones among them, overlap with
-    nothing; nor do empty and null texts. Rows with equal ids are one document, or item, and
+    Items of fewer than ``min_words`` words overlap with nothing, or, with ``short_items``, with
+    the texts that have all their words in a row: one word may then overlap with many texts.
+    Items without words overlap with nothing; nor do empty and null texts. Rows with equal ids are one document, or item, and
     null is an id. Other columns are not read. Empty tables give an empty result.
     """
     spark = docs.sparkSession
     shared_folder(spark)
-    items = _items(benchmark, item_key, item_text).where(F.size("item") >= min_words)
-    items = items.withColumn("item_uid", F.monotonically_increasing_id()).checkpoint()
+    items = _items(benchmark, item_key, item_text).where(F.size("item") >= (1 if short_items else min_words))
+    every = items.withColumn("item_uid", F.monotonically_increasing_id()).checkpoint()
+    items, short = every.where(F.size("item") >= min_words), every.where(F.size("item") < min_words)
     # At most ``window`` different lengths.
     sizes = sorted(r["n"] for r in items.select(F.least(F.size("item"), F.lit(window)).alias("n")).distinct().collect())
     masks: list[tuple[int, ...]] = []
@@ -215,6 +300,8 @@ def overlaps(
     kept = pairs.select("doc_id", "begin", "words", "item_id", "item", "shift").mapInArrow(
         verify, "doc_id long, item_id long, first_word long, item_word long, n_equal long, n_words long"
     )
+    if short_items and not short.isEmpty():
+        kept = kept.unionByName(_whole(id_text(docs, key, text), short))
     best = F.min(F.struct((-F.col("n_equal")).alias("few"), "first_word", "item_word", "n_equal", "n_words"))
     return kept.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.first_word", "best.item_word", "best.n_equal", "best.n_words")
 

@@ -56,7 +56,7 @@ def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op3_decontaminate(spark: SparkSession, d: str) -> DataFrame:
-    return overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"), short_items=True)
 
 
 @query

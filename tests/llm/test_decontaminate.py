@@ -94,3 +94,31 @@ def test_empty_tables(spark):
     docs = odd_documents(spark)
     assert overlaps(docs, items.where("false")).collect() == []
     assert drop_contaminated(docs, items.where("false")).count() == docs.count()
+
+
+def test_words_of_any_script(spark):
+    items = [
+        (1, "日本の首都は東京であり人口が多い"), (2, "กรุงเทพมหานครเป็นเมืองหลวง"), (3, "It’s “one two three” — four\u00a0five six"),
+        (4, "ПРИВЕТ как твои дела сегодня утром"), (5, "re\u00adturn the five small words"), (6, "हिन्दी में यह एक वाक्य है"),
+    ]
+    docs = [
+        (1, "前文。日本の首都は東京であり、人口が多い。後文"), (2, "ก่อน กรุงเทพมหานครเป็นเมืองหลวง หลัง"), (3, "so it's \"one two three\" - four five six."),
+        (4, "x привет, Как твои дела сегодня утром y"), (5, "return the five small words"), (6, "और हिन्दी में यह एक वाक्य है।"), (7, "日本の人口は東京で、首都が多い"), (8, ""),
+    ]
+    rows = [spark.createDataFrame(r, f"{n} long, text string") for r, n in ((docs, "doc_id"), (items, "item_id"))]
+    found = got(overlaps(*rows))
+    assert set(found) == {(k, k) for k in range(1, 7)}
+    assert found[1, 1] == (2, 0, 13, 13) and found[3, 3] == (1, 0, 8, 8)
+
+
+def test_short_items_match_whole(spark):
+    items = [(1, "Blue whale"), (2, "鯨"), (3, "four words in all"), (4, "..."), (5, None), (6, "one two three four five six")]
+    docs = [
+        (1, "a blue, whale. Blue whale"), (2, "blue whales"), (3, "大きな鯨だ"), (4, "four words in all"), (5, "four words at all"), (6, "zero one two three four five seven"),
+        (None, "Blue-whale"), (7, None), (8, "blue whale " * 20_000),
+    ]
+    rows = [spark.createDataFrame(r, f"{n} long, text string") for r, n in ((docs, "doc_id"), (items, "item_id"))]
+    found = got(overlaps(*rows, short_items=True))
+    assert found == {(1, 1): (1, 0, 2, 2), (3, 2): (3, 0, 1, 1), (4, 3): (0, 0, 4, 4), (6, 6): (1, 0, 5, 6), (None, 1): (0, 0, 2, 2), (8, 1): (0, 0, 2, 2)}
+    assert set(got(overlaps(*rows))) == {(6, 6)}
+    assert sorted(r.doc_id or 0 for r in drop_contaminated(*rows, short_items=True).collect()) == [0, 2, 5, 7]
