@@ -10,6 +10,7 @@ from reelmetrics.llm.common import fold, table
 from reelmetrics.llm.decontaminate import overlaps
 from reelmetrics.llm.html_text import extract_text
 from reelmetrics.llm.line_chunks import drop_repeated_passages
+from reelmetrics.llm.merkle import fold as folded, leaf_digest, merkle_proofs, proof_digest
 from reelmetrics.llm.pii import personal_data
 from reelmetrics.llm.quality import quality, quality_model
 from reelmetrics.llm.simhash import near_duplicates
@@ -113,3 +114,69 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op1_personal_data(spark: SparkSession, d: str) -> DataFrame:
     return personal_data(table(spark, d, "documents"))
+
+
+MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+# The letters that tampering lower-cases.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    lowered = leaf_digest(*(F.col(c) for c in MANIFEST[:-1]), F.translate("text", UPPER, LOWER))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    proofs = merkle_proofs(docs, MANIFEST, claim=F.when(tampered, lowered))
+    done = proofs.withColumn("folded_root", folded(F.coalesce("claim", "leaf"), F.col("proof")))
+    return done.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _sql_crc32(value: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, a byte and then a bit at a time."""
+    bits = "list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({value}, ''), lambda c: ascii(c)::bigint)), lambda acc, b: {bits}), 4294967295)"
+
+
+def _sql_leaf(text: str) -> str:
+    fields = (f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("doc_id::varchar", "source", "lang", "n_chars::varchar", text))
+    return f"sha256({' || '.join(fields)})"
+
+
+ORACLE["op11_merkle_manifest"] = f"""
+with recursive
+leaves as (
+  select doc_id, source, {_sql_leaf("text")} as leaf, {_sql_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} as lowered,
+    coalesce({_sql_crc32("doc_id::varchar")} % 5 = 0, false) as tampered from documents),
+placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+    count(*) over (partition by source) as n, dense_rank() over (order by source nulls first) - 1 as tree from leaves),
+lower_nodes(tree, level, idx, h, n) as (
+  select tree, 0, pos, leaf, n from placed
+  union all
+  select tree, level + 1, idx // 16, sha256(string_agg(h, '' order by idx)), (n + 15) // 16 from lower_nodes where n > 1 group by tree, level, idx // 16, n),
+subroots as (select tree, h from lower_nodes where n = 1),
+upper_nodes(level, idx, h, n) as (
+  select 0, tree, h, (select count(*) from subroots) from subroots
+  union all
+  select level + 1, idx // 16, sha256(string_agg(h, '' order by idx)), (n + 15) // 16 from upper_nodes where n > 1 group by level, idx // 16, n),
+nodes as (select tree, level, idx, h, n from lower_nodes where n > 1 union all select -1, level, idx, h, n from upper_nodes where n > 1),
+runs as (select tree, level, idx // 16 as run, list(h order by idx) as hs from nodes group by all),
+sides as (
+  select tree, level, idx, array_to_string(hs[:idx % 16], '') as before, array_to_string(hs[idx % 16 + 2:], '') as after
+  from nodes join runs using (tree, level) where run = idx // 16),
+steps(doc_id, tree, pos, leaf, top, level, idx, folded, siblings) as (
+  select doc_id, tree, pos, leaf, false, 0, pos, case when tampered then lowered else leaf end, '' from placed
+  union all
+  select s.doc_id, s.tree, s.pos, s.leaf, s.top or d.idx is null, case when d.idx is null then 0 else s.level + 1 end,
+    case when d.idx is null then s.tree else s.idx // 16 end,
+    case when d.idx is null then s.folded else sha256(d.before || s.folded || d.after) end,
+    case when d.idx is null then s.siblings else s.siblings || d.before || d.after end
+  from steps s left join sides d on d.tree = case when s.top then -1 else s.tree end and d.level = s.level and d.idx = s.idx
+  where not (s.top and d.idx is null)),
+ended as (select * from steps where top qualify row_number() over (partition by tree, pos order by level desc) = 1),
+root as (select h as root from upper_nodes where n = 1)
+select doc_id, leaf, r.h as subroot, root, sha256(siblings) as proof_sha256, folded as folded_root, folded = root as verified
+from ended join subroots r using (tree), root"""
