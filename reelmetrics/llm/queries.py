@@ -12,6 +12,7 @@ from reelmetrics.llm.html_text import extract_text
 from reelmetrics.llm.line_chunks import drop_repeated_passages
 from reelmetrics.llm.merkle import fold as folded, leaf_digest, merkle_proofs, proof_digest
 from reelmetrics.llm.pii import personal_data
+from reelmetrics.llm.prefix_trie import prefix_trie, regrown, turn_lists
 from reelmetrics.llm.quality import quality, quality_model
 from reelmetrics.llm.simhash import near_duplicates
 from reelmetrics.llm.token_counts import token_counts
@@ -180,3 +181,34 @@ ended as (select * from steps where top qualify row_number() over (partition by
 root as (select h as root from upper_nodes where n = 1)
 select doc_id, leaf, r.h as subroot, root, sha256(siblings) as proof_sha256, folded as folded_root, folded = root as verified
 from ended join subroots r using (tree), root"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie(regrown(turn_lists(table(spark, d, "conversations"))))
+
+
+ORACLE["op13_prefix_trie"] = f"""
+with turns as (
+  select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as h,
+    len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')) as w from conversations where conv_id is not null),
+lists as (select conv_id, list({{'h': h, 'w': w}} order by turn nulls first, h) as t from turns group by conv_id),
+aimed as (select *, ({_sql_crc32("conv_id::varchar")} % 4)::bigint as h from lists),
+rebuilt as (
+  select a.conv_id, coalesce(s.t[:a.h], []) || a.t[a.h + 1:] as t
+  from aimed a left join lists s on s.conv_id = a.conv_id - a.conv_id % 20),
+keyed as (select conv_id, len(t) as n, list_transform(t, lambda x: x.h) as hs, list_transform(t, lambda x: x.w) as ws from rebuilt),
+prefixes as (select conv_id, n, d, array_to_string(hs[:d], ',') as key, array_to_string(hs[:d - 1], ',') as up, ws[d] as w
+  from (select *, unnest(range(0, n + 1)) as d from keyed)),
+nodes as (
+  select d, key, any_value(case when d > 0 then up end) as up, min(conv_id) as conv_id, count(*) as n_convs, coalesce(any_value(w), 0) as w,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d), '')) as ends_sha256
+  from prefixes group by d, key),
+children as (select up as key, d - 1 as d, count(*) as n_children from nodes where up is not null group by all),
+full_nodes as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join children using (d, key)),
+inside as (
+  select top, key_top, sum((n_children = 0)::int) as n_leaves, sum((n_convs - 1) * w) as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as top, key[:greatest(0, top * 65 - 1)] as key_top from full_nodes) group by top, key_top)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, i.n_leaves::bigint as n_leaves,
+  i.saved_tokens::bigint as saved_tokens, n.ends_sha256
+from full_nodes n join inside i on i.top = n.d and i.key_top = n.key left join full_nodes p on p.d = n.d - 1 and p.key = n.up"""
