@@ -11,6 +11,7 @@ from reelmetrics.llm.decontaminate import overlaps
 from reelmetrics.llm.html_text import extract_text
 from reelmetrics.llm.line_chunks import drop_repeated_passages
 from reelmetrics.llm.merkle import fold as folded, leaf_digest, merkle_proofs, proof_digest
+from reelmetrics.llm.minhash import minhash_duplicates
 from reelmetrics.llm.pii import personal_data
 from reelmetrics.llm.prefix_trie import prefix_trie, regrown, turn_lists
 from reelmetrics.llm.quality import quality, quality_model
@@ -183,11 +184,43 @@ select doc_id, leaf, r.h as subroot, root, sha256(siblings) as proof_sha256, fol
 from ended join subroots r using (tree), root"""
 
 
+@query
+def op12_minhash(spark: SparkSession, d: str) -> DataFrame:
+    found = minhash_duplicates(table(spark, d, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie(regrown(turn_lists(table(spark, d, "conversations"))))
 
 
+ORACLE["op12_minhash"] = """
+with recursive
+words as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
+five as (
+  select doc_id, w || ' ' || lead(w, 1) over o || ' ' || lead(w, 2) over o || ' ' || lead(w, 3) over o || ' ' || lead(w, 4) over o as x
+  from (select doc_id, unnest(w) as w, unnest(range(1, len(w) + 1)) as i from words where len(w) >= 5) window o as (partition by doc_id order by i)),
+items as (
+  select distinct doc_id, x from five where x is not null
+  union all select doc_id, array_to_string(w, ' ') from words where len(w) between 1 and 4),
+sizes as (select doc_id, count(x) as n from documents left join items using (doc_id) group by doc_id),
+-- Any 15 % + 1 of a set must meet a similar one; the rarest shingles are taken.
+spread as (select x, count(*) as f from items group by x),
+rare as (select doc_id, x from items join spread using (x) join sizes using (doc_id) where f > 1
+  qualify row_number() over (partition by doc_id order by f, x) <= n - ceil(0.85 * n) + 1),
+near as (select distinct a.doc_id as a, b.doc_id as b from rare a join rare b on a.x = b.x and a.doc_id < b.doc_id
+  join sizes sa on sa.doc_id = a.doc_id join sizes sb on sb.doc_id = b.doc_id where 100 * least(sa.n, sb.n) >= 85 * greatest(sa.n, sb.n)),
+links as (
+  select a, b from near join items i on i.doc_id = a join items j on j.doc_id = b and i.x = j.x
+  group by a, b having 185 * count(*) >= 85 * (any_value((select n from sizes where doc_id = a)) + any_value((select n from sizes where doc_id = b)))),
+ways as (select a, b from links union all select b, a from links),
+reach(doc_id, low) as (select doc_id, doc_id from sizes union select b, r.low from reach r join ways on a = r.doc_id where r.low < b),
+least_of as (select doc_id, min(low) as component_id from reach group by doc_id)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from sizes join least_of using (doc_id)"""
+
+
 ORACLE["op13_prefix_trie"] = f"""
 with turns as (
   select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as h,
