@@ -6,17 +6,19 @@ minhashes (48) serve HALVES ** 2 tables (144) of 2 x ROWS minhashes each, which
 of their own. Sets with similarity s meet in a table with 1 - 2 (1 - s ** ROWS) ** HALVES
 at least: all but 5 pairs in ten million at 0.85, and all but one in 10 ** 8 at 0.9.
 
-Table keys are formed from half keys that more than one set has; others can't meet anyone. What
-meets is verified on full sets, and without listing the pairs of a bucket:
-
-1. Equal sets are one row from the start, buckets with the same members are one bucket.
-2. Each bucket's most central member is compared with all others of the bucket. Sets that link
-   are one class from then on.
-3. While buckets of several classes hold many pairs between classes, the most central member
-   outside the largest class is compared with those of other classes, as in step 2.
-4. What is then left between classes of a bucket is compared pair by pair, so no link is lost.
-
-Sets are made again from the texts of those documents that share a bucket; no other text is
+Half keys that one set alone has meet nobody and are dropped first. What meets is verified on full
+sets, and without listing the pairs of a bucket:
+
+1. Equal sets are one row from the start.
+2. In the tables of a set's most shared half keys it is compared with the bucket's most central
+   member. Sets that link are one class from then on; that settles most of a crowd of near copies.
+3. Sets that meet sets of other classes are compared by their rarest shingles: with similarity t,
+   two sets share one among their first n - ceil(t n) + 1 in any common order, and where the first
+   such shingle stands bounds how many they can share at all. The order begins with shingles that one
+   class alone has, which no other class can share, so two far copies of a text hardly ever become a
+   pair. Pairs that pass and share a table key are compared in full, so no link is lost.
+
+Sets are made again from the texts of those documents that share half keys; no other text is
 read twice, and texts are never shuffled.
 """
 
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from reelmetrics.llm.common import FILTER_BITS, flat, id_text, key_filter, may_hold, mix, pieces
 from reelmetrics.llm.components import components
@@ -39,8 +41,8 @@ PERCENT = 85
 HALVES = 12
 ROWS = 2
 SEED = 42
-#: Pairs between classes, in multiples of the rows they are of, that are few enough to be listed.
-FEW = 8
+#: Half keys of either collection, the most shared ones, whose tables give a set its first comparisons.
+NEAREST = 2
 SIGNED = "doc_id bigint, n_shingles bigint, set_id binary, halves array<bigint>"
 
 
@@ -138,67 +140,81 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * small >= percent * large).where(100 * shared >= percent * whole).select("a", "b")
 
 
-def table_members(sets: DataFrame) -> DataFrame:
-    """(bucket, doc_id, degree): which sets meet in which tables, from (doc_id, halves).
+def shared_halves(sets: DataFrame) -> DataFrame:
+    """Sets (doc_id, n, halves) that share half keys of both collections, with these keys.
 
-    degree counts the sets that share a half key, over all half keys. Buckets of one member are
-    left out, and of buckets with the same members all but one.
+    left and right hold (sharing, half), the most shared first; degree is the sum of sharing.
     """
-    halves = sets.select("doc_id", F.posexplode("halves").alias("at", "half"))
+    halves = sets.select("doc_id", "n", F.posexplode("halves").alias("at", "half"))
+    # Kept apart, so that the rows of a hot half key can be split when they are joined.
     met = halves.groupBy("half").agg(F.count("*").alias("sharing")).where("sharing > 1").checkpoint()
-    alive = halves.join(met, "half").groupBy("doc_id").agg(
-        F.sum("sharing").alias("degree"),
-        F.collect_list(F.when(F.col("at") < HALVES, F.col("half"))).alias("left"),
-        F.collect_list(F.when(F.col("at") >= HALVES, F.col("half"))).alias("right"),
-    ).checkpoint()
-    keyed = alive.withColumn("l", F.explode("left")).select("doc_id", "degree", "l", F.explode("right").alias("r"))
-    keyed = keyed.select(F.xxhash64("l", "r").alias("bucket"), "doc_id", "degree")
-    ids = [F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "doc_id")).alias("y")]
-    buckets = keyed.groupBy("bucket").agg(F.count("*").alias("size"), *ids).where("size > 1")
-    kept = buckets.groupBy("x", "y", "size").agg(F.min("bucket").alias("bucket")).select("bucket").checkpoint()
-    return keyed.join(kept, "bucket", "left_semi").checkpoint()
-
 
-def _central(members: DataFrame) -> DataFrame:
-    """The most central member of each bucket."""
-    return members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("m"))).alias("c")).select("bucket", (-F.col("c.m")).alias("b"))
+    def side(which):
+        return F.reverse(F.array_sort(F.collect_list(F.when(which, F.struct("sharing", "half")))))
 
-
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("root", "class")
-    return members.join(roots, "doc_id", "left").withColumn("class", F.coalesce("class", "doc_id"))
+    alive = halves.join(met, "half").groupBy("doc_id").agg(
+        F.first("n").alias("n"), F.sum("sharing").alias("degree"), side(F.col("at") < HALVES).alias("left"), side(F.col("at") >= HALVES).alias("right")
+    )
+    return alive.where("size(left) > 0 and size(right) > 0").checkpoint()
+
+
+def central_pairs(shared: DataFrame) -> DataFrame:
+    """Each set (a) with the most central members (b) of the tables of its most shared half keys."""
+    left, right = (F.explode(F.slice(side, 1, NEAREST)) for side in ("left", "right"))
+    tables = shared.select("doc_id", "degree", "right", left.alias("l")).select("doc_id", "degree", "l", right.alias("r"))
+    tables = tables.select(F.xxhash64("l.half", "r.half").alias("bucket"), "doc_id", "degree")
+    best = F.max(F.struct("degree", (-F.col("doc_id")).alias("m")))
+    pivots = tables.groupBy("bucket").agg(F.count("*").alias("size"), best.alias("c")).where("size > 1").select("bucket", (-F.col("c.m")).alias("b")).checkpoint()
+    return tables.join(pivots, "bucket").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
+
+
+def meeting_other_classes(classed: DataFrame) -> DataFrame:
+    """Of sets with half keys and class those that share half keys of both collections with other classes."""
+
+    def side(name):
+        return F.transform(name, lambda x: F.struct(x["half"].alias("half"), F.lit(name == "left").alias("left")))
+
+    halves = classed.select("doc_id", "class", F.explode(F.concat(side("left"), side("right"))).alias("h")).select("doc_id", "class", "h.*")
+    mixed = halves.groupBy("half").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("half").checkpoint()
+    met = halves.join(mixed, "half").groupBy("doc_id").agg(F.bool_or("left").alias("l"), F.bool_or(~F.col("left")).alias("r"))
+    return classed.join(met.where("l and r").select("doc_id"), "doc_id")
+
+
+def rare_pairs(classed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different classes that may be similar enough, by their rarest shingles."""
+    items = classed.select("doc_id", "n", "class").join(full, "doc_id").select("doc_id", "n", "class", F.explode("shingles").alias("x"))
+    spread = items.groupBy("x").agg(F.count("*").alias("f"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+    spread = spread.where("lo <> hi").select("x", "f").checkpoint()
+    own = Window.partitionBy("doc_id")
+    place = F.row_number().over(own.orderBy("f", "x")) + F.col("n") - F.count("*").over(own)
+    least = F.expr(f"(n * {percent} + 99) div 100")
+    rare = items.join(spread, "x").withColumn("place", place).where(F.col("place") <= F.col("n") - least + 1)
+    rare = rare.select("x", "doc_id", "n", "class", "place").checkpoint()
+    # Sets outside the largest class of a shingle meet all that have it; those within are one class.
+    most = rare.groupBy("x", "class").agg(F.count("*").alias("c")).groupBy("x").agg(F.max(F.struct("c", "class"))["class"].alias("most")).checkpoint()
+    one = rare.join(most, "x").where("class <> most").select("x", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "class", "place")))
+    most_shared = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n") - F.col("place"))
+    enough = most_shared * (100 + percent) >= (F.col("n_a") + F.col("n")) * percent
+    pairs = one.join(rare, "x").where((F.col("class") != F.col("class_a")) & enough)
+    return pairs.select(F.least("doc_id", "doc_id_a").alias("a"), F.greatest("doc_id", "doc_id_a").alias("b")).distinct()
+
+
+def sharing_a_table(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """Pairs that share a half key of either collection, and so the table key made of both."""
+    keys = shared.select("doc_id", F.col("left.half").alias("l"), F.col("right.half").alias("r"))
+    of_a, of_b = (keys.select(F.col("doc_id").alias(c), F.col("l").alias(f"l{c}"), F.col("r").alias(f"r{c}")) for c in "ab")
+    return pairs.join(of_a, "a").join(of_b, "b").where(F.arrays_overlap("la", "lb") & F.arrays_overlap("ra", "rb")).select("a", "b")
 
 
 def similarity_links(docs: DataFrame, sets: DataFrame, words: int, percent: int, key: str, text: str) -> DataFrame:
-    """Links (a, b) between sets (doc_id, halves) that join all that are linked to each other."""
-    members = table_members(sets)
-    full = wanted_sets(docs, members.select("doc_id").distinct(), words, key, text).checkpoint()
-    pivots = _central(members).checkpoint()
-    pairs = members.join(pivots, "bucket").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
-    links = verified(pairs, full, percent).checkpoint()
-    # What has been compared stays compared: pivots leave their buckets.
-    rest, before = members.join(pivots.withColumnRenamed("b", "doc_id"), ["bucket", "doc_id"], "left_anti"), None
-    while True:
-        rest = _labelled(rest.select("bucket", "doc_id", "degree"), links).checkpoint()
-        groups = rest.groupBy("bucket", "class").agg(F.count("*").alias("n"), F.max(F.struct("degree", (-F.col("doc_id")).alias("m"))).alias("c"))
-        whole = groups.groupBy("bucket").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"), F.max(F.struct("n", "class")).alias("largest"))
-        mixed = whole.where(F.col("largest.n") < F.col("all")).select("bucket", "all", "within", F.col("largest.class").alias("most")).checkpoint()
-        size = mixed.agg(F.sum("all").alias("rows"), F.sum((F.col("all") * F.col("all") - F.col("within")) / 2).alias("pairs")).first()
-        if not size["rows"]:
-            return links
-        rest = rest.join(mixed.select("bucket", "most"), "bucket")
-        if size["pairs"] <= FEW * size["rows"] or (before is not None and size["pairs"] > 0.9 * before):
-            break
-        before = size["pairs"]
-        pivots = _central(rest.where(F.col("class") != F.col("most"))).checkpoint()
-        own = pivots.join(rest, (rest["bucket"] == pivots["bucket"]) & (rest["doc_id"] == pivots["b"])).select(pivots["bucket"], "b", F.col("class").alias("pivot_class"))
-        pairs = rest.join(own, "bucket").where("class <> pivot_class").select(F.col("doc_id").alias("a"), "b").distinct()
-        links = links.unionByName(verified(pairs, full, percent)).checkpoint()
-        rest = rest.join(pivots.withColumnRenamed("b", "doc_id"), ["bucket", "doc_id"], "left_anti")
-    one = rest.select("bucket", F.col("doc_id").alias("a"), F.col("class").alias("ca"))
-    other = rest.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("cb"))
-    pairs = one.join(other, "bucket").where("a < b and ca <> cb").select("a", "b").distinct()
-    return links.unionByName(verified(pairs, full, percent))
+    """Links (a, b) between sets (doc_id, n, halves) that join all that are linked to each other."""
+    shared = shared_halves(sets)
+    full = wanted_sets(docs, shared.select("doc_id"), words, key, text).checkpoint()
+    links = verified(central_pairs(shared), full, percent).checkpoint()
+    roots = components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("root", "class")
+    classed = shared.join(roots, "doc_id", "left").withColumn("class", F.coalesce("class", "doc_id")).checkpoint()
+    pairs = sharing_a_table(rare_pairs(meeting_other_classes(classed).checkpoint(), full, percent), shared)
+    return links.unionByName(verified(pairs, full, percent)).checkpoint()
 
 
 def minhash_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,9 +229,9 @@ def minhash_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """
     shared_folder(docs.sparkSession)
     rows = signed(docs, words, key, text).checkpoint()
-    sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves"))
+    sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"))
     sets = sets.checkpoint()
-    links = similarity_links(docs, sets.select(F.col("first").alias("doc_id"), "halves"), words, percent, key, text)
+    links = similarity_links(docs, sets.select(F.col("first").alias("doc_id"), "n", "halves"), words, percent, key, text)
     roots = components(links).withColumnRenamed("node", "first")
     classes = sets.join(roots, "first", "left").select("set_id", F.coalesce("root", "first").alias("root"), "copies")
     named = lookup_join(rows.select("doc_id", "n_shingles", "set_id"), classes, "set_id", "copies", ["doc_id"], small=False)

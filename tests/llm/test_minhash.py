@@ -63,10 +63,10 @@ def test_groups_of_near_copies(spark, seed, share):
     assert found(minhash_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == plain(rows)
 
 
-@pytest.mark.parametrize("few", [0, 10**6])
-def test_one_large_group_that_no_member_holds_together(spark, monkeypatch, few):
-    """A drifting copy of a copy: each links to its neighbours only; with pivots alone, or pair by pair."""
-    monkeypatch.setattr(module, "FEW", few)
+@pytest.mark.parametrize("nearest", [1, HALVES])
+def test_one_large_group_that_no_member_holds_together(spark, monkeypatch, nearest):
+    """A drifting copy of a copy: each links to its neighbours only, whatever central members see."""
+    monkeypatch.setattr(module, "NEAREST", nearest)
     rng = random.Random(3)
     words, rows = [f"w{i}" for i in range(300)], []
     for i in range(120):
