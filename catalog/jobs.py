@@ -14,6 +14,7 @@ from catalog.joins import NEAR, TEST_SIMILARITY
 from reelmetrics.functions.sentiment import sentiment
 from reelmetrics.operators import topics as topic_jobs
 from reelmetrics.operators.aggregates import topic_overview
+from reelmetrics.operators.density import density_clusters
 from reelmetrics.operators.enrich import enrich_with_comments
 from reelmetrics.operators.entities import extract_brands
 from reelmetrics.operators.keyphrases import keyphrases
@@ -169,30 +170,105 @@ def language_stage(spark, d):
     return done.drop("text").withColumn("sent_value", F.col("sent_value") + 0.0)
 
 
-def overview_facts(overview, most: int):
-    """What holds of an overview whatever the clusters are."""
-    return overview.agg(
-        F.sum("Count").alias("rows"),
-        F.count_if(F.col("topic_repr").isNull() | (F.col("topic_repr") == "")).alias("unnamed"),
-        F.count_if((F.col("topic_id") == -1) & (F.col("topic_repr") != "Other")).alias("misnamed_noise"),
-        (F.count_distinct("topic_id") == F.count("*")).alias("one_row_each"),
-        F.bool_and(F.col("topic_id").between(-1, most - 1)).alias("ids_in_range"),
-    )
-
-
-OVERVIEW_FACTS = """select count(*)::bigint as "rows", 0::bigint as unnamed, 0::bigint as misnamed_noise, true as one_row_each,
-    true as ids_in_range from embeddings"""
+def sql_clusters(k: int, starts: int) -> str:
+    """CTEs ending in chosen (id, topic, d): the k-means of the library, from pts (id, e)."""
+    return f"""seeds(s, c, centre) as (
+  select s, row_number() over (partition by s order by md5(id || ':' || s), id) as c, e from pts, (select unnest(range({starts})) as s)
+  qualify c <= {k}),
+km(it, s, c, centre) as (
+  select 0, s, c, centre from seeds
+  union all
+  select it + 1, s, c, list(m order by i) from (
+    select it, s, c, i, avg(x) as m from (
+      select it, s, c, unnest(e) as x, unnest(range(len(e))) as i from (
+        select km.it, km.s, p.id, any_value(p.e) as e, (list(km.c order by list_distance(p.e, km.centre), km.c))[1] as c
+        from km, pts p where km.it < 20 group by km.it, km.s, p.id)) group by it, s, c, i) group by it, s, c),
+assigned as (
+  select s, id, (list(c order by d, c))[1] as c, min(d) as d
+  from (select s, id, c, list_distance(e, centre) as d from km, pts where it = 20) group by s, id),
+best as (select s from assigned group by s order by round(sum(d * d), 9), s limit 1),
+chosen as (
+  select id, d, dense_rank() over (order by low) - 1 as topic
+  from (select *, min(id) over (partition by c) as low from assigned where s = (select s from best)))"""
+
+
+def sql_unit(v: str) -> str:
+    return f"list_transform({v}, lambda x: x::double / sqrt(list_sum(list_transform({v}, lambda y: y::double * y))))"
+
+
+SQL_TOPIC_NAMES = r"""words as (select topic_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{Nd}\p{Pc}]{2,}') as w
+  from topics join documents on doc_id = id where topic_id >= 0),
+terms as (select topic_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as term from words),
+tf as (select topic_id, term, count(*) as tf from terms group by 1, 2),
+f as (select term, sum(tf) as f from tf group by 1),
+mean as (select sum(tf)::double / count(distinct topic_id) as a from tf),
+names as (select topic_id, term, round(tf * ln(1.0 + a / f), 9) as r from tf join f using (term), mean
+  qualify row_number() over (partition by topic_id order by r desc, term) = 1),
+overview as (
+  select topic_id, case when topic_id = -1 then 'Other' else coalesce(any_value(term), 'Topic') end as topic_repr, count(*) as "Count"
+  from topics left join names using (topic_id) group by topic_id)"""
+
+
+def texts_with_vectors(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    return table(spark, d, "embeddings").join(docs, "vec_id", "left")
+
+
+def named_overview(topics):
+    named = topic_jobs.with_representatives(topics, topic_jobs.topic_terms(topics, "text"), "vec_id")
+    return topic_overview(named)
 
 
-@query("m6_topic_clusters", OVERVIEW_FACTS)
+@query(
+    "m6_topic_clusters",
+    f"""with recursive pts as (select vec_id as id, {sql_unit("embedding")} as e from embeddings), {sql_clusters(8, 1)},
+    topics as (select id, case when d > 1.0 then -1 else topic end::int as topic_id from chosen), {SQL_TOPIC_NAMES}
+    select * from overview""",
+)
 def topic_clusters(spark, d):
     """Clusters over all vectors with the leading term of the texts that share their id."""
-    vectors = table(spark, d, "embeddings").join(
-        table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text"), "vec_id", "left"
-    )
-    topics = topic_jobs.assign_topics(vectors, "embedding", k=8, max_distance=1.0)
-    named = topic_jobs.with_representatives(topics, topic_jobs.topic_terms(topics, "text"), "vec_id")
-    return overview_facts(topic_overview(named), 8)
+    return named_overview(topic_jobs.assign_topics(texts_with_vectors(spark, d), "embedding", k=8, max_distance=1.0, id_column="vec_id"))
+
+
+@query(
+    "m6_topic_assignment",
+    f"""with recursive pts as (select vec_id as id, {sql_unit("embedding")} as e from embeddings), {sql_clusters(8, 1)}
+    select id as vec_id, case when d > 1.0 then -1 else topic end::int as topic_id from chosen""",
+)
+def topic_assignment(spark, d):
+    topics = topic_jobs.assign_topics(table(spark, d, "embeddings"), "embedding", k=8, max_distance=1.0, id_column="vec_id")
+    return topics.select("vec_id", "topic_id")
+
+
+# Similarity and neighbours at which the vectors of the tables form topics and leave noise.
+DENSE, CROWD = 0.35, 3
+SQL_DENSE = f"""near as (
+  select a.vec_id as a, b.vec_id as b from embeddings a join embeddings b
+    on list_cosine_similarity(a.embedding, b.embedding) >= {DENSE} or a.vec_id = b.vec_id),
+core as (select a as id from near group by a having count(*) >= {CROWD}),
+links as (select a, b from near where a in (select id from core) and b in (select id from core)),
+reach(id, low) as (select id, id from core union select b, low from reach join links on a = id where low < b),
+clusters as (select id, min(low) as cluster_id from reach group by id),
+dense as (
+  select vec_id, coalesce(min(c.cluster_id), -1)::bigint as cluster_id
+  from embeddings left join near on a = vec_id left join clusters c on c.id = b group by vec_id)"""
+
+
+@query("m6_density_clusters", f"with recursive {SQL_DENSE} select * from dense")
+def density_table(spark, d):
+    return density_clusters(table(spark, d, "embeddings"), "vec_id", "embedding", DENSE, CROWD)
+
+
+@query(
+    "m6_density_topics",
+    f"""with recursive {SQL_DENSE},
+    numbers as (select cluster_id, row_number() over (order by count(*) desc, cluster_id) - 1 as topic from dense where cluster_id >= 0 group by 1),
+    topics as (select vec_id as id, coalesce(topic, -1)::int as topic_id from dense left join numbers using (cluster_id)), {SQL_TOPIC_NAMES}
+    select * from overview""",
+)
+def density_topics(spark, d):
+    """Topics by density with the leading term of the texts that share the vectors' ids."""
+    return named_overview(topic_jobs.assign_density_topics(texts_with_vectors(spark, d), "embedding", "vec_id", DENSE, CROWD))
 
 
 @query(
@@ -212,7 +288,16 @@ def topic_term_names(spark, d):
     return topic_jobs.topic_terms(table(spark, d, "documents").join(vectors, "doc_id"), "text")
 
 
-@query("m7_small_topics", OVERVIEW_FACTS)
+@query(
+    "m7_small_topics",
+    f"""with recursive pts as (select vec_id as id, {sql_unit("embedding")} as e from embeddings), {sql_clusters(2, 10)},
+    t as (select topic::int as topic_id, id, list_filter(string_split(coalesce(p_name, ''), ' '), lambda x: x <> '')[1:3] as w
+      from chosen left join part on id = p_partkey),
+    top as (select * from t where len(w) > 0 qualify row_number() over (partition by topic_id order by id) <= 3),
+    names as (select topic_id, array_to_string(flatten(list(w order by id))[1:3], ' ') as name from top group by topic_id)
+    select topic_id, coalesce(any_value(name), 'Topic ' || topic_id) as topic_repr, count(*) as "Count"
+    from t left join names using (topic_id) group by topic_id""",
+)
 def small_topics(spark, d):
     vectors = table(spark, d, "embeddings").withColumnRenamed("vec_id", "videoId")
     titles = table(spark, d, "part").select(F.col("p_partkey").alias("videoId"), F.col("p_name").alias("title"))
@@ -220,7 +305,7 @@ def small_topics(spark, d):
     k = topic_jobs.small_k(2, vectors.count())
     topics = topic_jobs.assign_topics(rows, "embedding", k, restarts=topic_jobs.RESTARTS)
     named = topic_jobs.with_representatives(topics, topic_jobs.title_representatives(topics), "videoId")
-    return overview_facts(topic_overview(named), k)
+    return topic_overview(named)
 
 
 @query(

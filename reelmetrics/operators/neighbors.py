@@ -3,12 +3,13 @@
 Exact by default, without listing pairs:
 
 1. Equal vectors are collapsed to one row with a count.
-2. Each vector goes to its nearest pivot. Pivots are at most ``MAX_PIVOTS`` vectors, so what
-   every task holds is bounded. A cell larger than ``block_rows`` is split by hash.
+2. Vectors are the leaves of a metric tree (``metric_tree``): a cell that is too large is parted
+   again around centres of its own. What is still too large on the last level is split by hash.
 3. Inside each block a matrix product counts neighbours. Rows that have enough are settled;
    in a crowd of near copies that is almost everyone.
-4. Rows still open probe the blocks of those cells that the triangle inequality on angles
-   cannot rule out, again counting only.
+4. For cells with open rows the tree is walked down by pairs of nodes, ruling out whole pairs by the
+   triangle inequality on angles, then single rows by the centre of the other cell. What is
+   left is compared block by block, again counting only.
 
 ``mode="lsh"`` replaces steps 2 and 4 by random-hyperplane bands: no probing across buckets,
 at the price of missing about ``1 - recall`` of the pairs right at the threshold. Crowded
@@ -22,9 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from reelmetrics.operators.metric_tree import SLACK, angles, grow, leaves_in_reach, matrix, units
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.session import shared_folder
 
@@ -32,28 +34,10 @@ from reelmetrics.session import shared_folder
 SIMILARITY = 0.92
 MIN_GROUP = 2
 
-MAX_PIVOTS = 1024
 BLOCK_ROWS = 2048
-PROBED_ROWS = 64
 BANDS = 16
-ANGLE_SLACK = 1e-3  # float32 error in angles, on the safe side
 
-MEMBER = "vkey string, n bigint, unit array<float>, cell bigint, angle float, sig array<bigint>"
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float32)
-
-
-def _units(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Unit rows and a mask of those that have a direction."""
-    x = _matrix(column)
-    norm = np.linalg.norm(x, axis=1, keepdims=True)
-    return x / np.where(norm > 0, norm, 1), norm[:, 0] > 0
-
-
-def _angles(cos: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(cos, -1, 1))
+MEMBER = "vkey string, n bigint, unit array<float>, cell bigint, sig array<bigint>"
 
 
 def lsh_bits(threshold: float, bands: int = BANDS, recall: float = 0.99) -> int:
@@ -65,21 +49,6 @@ def lsh_bits(threshold: float, bands: int = BANDS, recall: float = 0.99) -> int:
     return bits
 
 
-def _by_pivot(distinct: DataFrame, pivots: np.ndarray) -> DataFrame:
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            x, ok = _units(batch["vec"])
-            cos = x @ pivots.T
-            home = cos.argmax(axis=1)
-            angle = _angles(cos[np.arange(len(x)), home])
-            out = batch[["vkey", "n"]].assign(unit=list(x), cell=home.astype(np.int64), angle=angle, sig=None)
-            yield out[ok]
-
-    return distinct.mapInPandas(assign, MEMBER)
-
-
 def _by_band(distinct: DataFrame, dim: int, bands: int, bits: int) -> DataFrame:
     planes = np.random.default_rng(42).standard_normal((dim, bands * bits)).astype(np.float32)
     powers = 1 << np.arange(bits, dtype=np.int64)
@@ -88,12 +57,12 @@ def _by_band(distinct: DataFrame, dim: int, bands: int, bits: int) -> DataFrame:
         for batch in batches:
             if batch.empty:
                 continue
-            x, ok = _units(batch["vec"])
+            x, ok = units(batch["vec"])
             sides = (x @ planes > 0).reshape(len(x), bands, bits)
             sig = sides @ powers
             for band in range(bands):
                 cell = (np.int64(band) << 32) + sig[:, band]
-                out = batch[["vkey", "n"]].assign(unit=list(x), cell=cell, angle=np.float32(0), sig=list(sig))
+                out = batch[["vkey", "n"]].assign(unit=list(x), cell=cell, sig=list(sig))
                 yield out[ok]
 
     return distinct.mapInPandas(assign, MEMBER)
@@ -108,8 +77,8 @@ def _new_in_band(cell: int, a: np.ndarray, b: np.ndarray) -> np.ndarray | bool:
 
 
 def _close(cell: int, queries: pd.DataFrame, data: pd.DataFrame, threshold: float) -> np.ndarray:
-    close = _matrix(queries["unit"]) @ _matrix(data["unit"]).T >= np.float32(threshold)
-    if cell >> 32:
+    close = matrix(queries["unit"]) @ matrix(data["unit"]).T >= np.float32(threshold)
+    if queries["sig"].iloc[0] is not None and cell >> 32:
         close &= _new_in_band(cell, np.stack(queries["sig"]), np.stack(data["sig"]))
     return close
 
@@ -153,28 +122,67 @@ def _across_blocks(queries: DataFrame, data: DataFrame, threshold: float) -> Dat
     return found.groupBy("vkey").agg(F.sum("degree").alias("degree"))
 
 
-def _probe_cells(rows: DataFrame, pivots: np.ndarray, radius: np.ndarray, threshold: float) -> DataFrame:
-    """Each row once per cell that may hold a neighbour.
+def _aimed(rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Each row once per cell (``t_cell``) that may hold a neighbour of it."""
+    reach = math.acos(threshold)
+    near = leaves_in_reach(nodes, reach, rows.select(F.col("cell").alias("node")).distinct())
+    cells = nodes.where("leaf").select(F.col("node").alias("b"), "centre", "radius", F.col("rows").alias("t_rows"))
+    targets = near.join(cells, "b").select(F.col("a").alias("cell"), F.col("b").alias("t_cell"), "centre", "radius", "t_rows")
 
-    With reach ``r`` (the angle of the threshold), a neighbour homed at pivot ``p`` needs
-    angle(x, p) <= radius(p) + r, and angle(x, p) <= angle(x, home) + 2r because the neighbour
-    is no farther from ``p`` than from x's own pivot.
-    """
-    reach = math.acos(threshold) + ANGLE_SLACK
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            # A few rows at a time: each may be sent to every cell.
-            for lo in range(0, len(batch), PROBED_ROWS):
-                part = batch.iloc[lo : lo + PROBED_ROWS]
-                away = _angles(_matrix(part["unit"]) @ pivots.T)
-                near = part["angle"].to_numpy()[:, None] + 2 * reach
-                row, cell = np.nonzero((away <= radius[None, :] + reach) & (away <= near))
-                yield part.iloc[row].assign(t_cell=cell.astype(np.int64))
+            if len(batch):
+                away = angles(np.einsum("ij,ij->i", matrix(batch["unit"]), matrix(batch["centre"])))
+                yield batch[away <= batch["radius"] + (reach + SLACK)].drop(columns=["centre", "radius"])
+
+    aimed = rows.join(targets, "cell")
+    return aimed.mapInPandas(keep, aimed.drop("centre", "radius").schema)
 
-    return rows.mapInPandas(probe, _plus(rows, "t_cell"))
+
+def distinct_vectors(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy("vkey", "vec").agg(F.count("*").alias("n"), F.min("id").alias("low")).checkpoint()
+
+
+def keyed_vectors(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+    """(id, vkey, vec): equal vectors have equal keys."""
+    vec = F.col(vector_column)
+    vkey = F.concat_ws(":", F.hex(F.xxhash64(vec)), F.hex(F.xxhash64(F.lit(1), vec)))
+    return df.where(vec.isNotNull()).select(F.col(id_column).alias("id"), vkey.alias("vkey"), vec.alias("vec"))
+
+
+def tree_blocks(distinct: DataFrame, block_rows: int, pivots: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """Vectors in blocks (cell, sub) of the metric tree, and its nodes; none if there are no vectors."""
+    total = distinct.count()
+    if not total:
+        return None
+    members, nodes = grow(distinct, block_rows, total, pivots)
+    parts = nodes.where("leaf").select("node", _subs(F.col("rows"), block_rows).alias("subs"))
+    blocks = members.join(parts, "node").withColumn("sub", F.pmod(F.xxhash64("vkey"), F.col("subs")))
+    return blocks.select("vkey", "n", "unit", F.col("node").alias("cell"), "sub").checkpoint(), nodes
+
+
+def _subs(rows: Column, block_rows: int) -> Column:
+    """A leaf beyond twice the size of a block is split by hash."""
+    return F.when(rows > 2 * block_rows, F.ceil(rows / block_rows)).otherwise(1).cast("bigint")
+
+
+def tree_visits(rows: DataFrame, nodes: DataFrame, threshold: float, block_rows: int, own_block: bool) -> DataFrame:
+    """Rows once per block to compare with, named by the block they come from (``chunk``)."""
+    aimed = _aimed(rows, nodes, threshold).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), _subs(F.col("t_rows"), block_rows) - 1)))
+    if not own_block:
+        aimed = aimed.where((F.col("t_cell") != F.col("cell")) | (F.col("t_sub") != F.col("sub")))
+    return aimed.withColumn("chunk", F.concat_ws(":", "cell", "sub")).drop("cell", "sub", "t_rows")
+
+
+def degrees_in_tree(blocks: DataFrame, nodes: DataFrame, threshold: float, need: int, block_rows: int) -> DataFrame:
+    """(vkey, n, degree): neighbours of other vectors, counted in full where the own block has fewer than ``need``."""
+    marked = blocks.withColumn("sig", F.lit(None).cast("array<bigint>"))
+    counted = _inside_blocks(marked, threshold).checkpoint()
+    found = counted.select("vkey", "n", "degree")
+    open_rows = counted.where(F.col("degree") + F.col("n") - 1 < need).select("vkey", "unit", "sig", "cell", "sub")
+    more = _across_blocks(tree_visits(open_rows, nodes, threshold, block_rows, False), marked, threshold)
+    more = more.select("vkey", F.lit(0).cast("bigint").alias("n"), "degree")
+    return found.unionByName(more).groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
 
 
 def near_duplicates(
@@ -196,58 +204,34 @@ def near_duplicates(
         raise ValueError("threshold must be in (0, 1] and mode 'exact' or 'lsh'")
     shared_folder(df.sparkSession)
     need = min_group - 1
-    vec = F.col(vector_column)
-    vkey = F.concat_ws(":", F.hex(F.xxhash64(vec)), F.hex(F.xxhash64(F.lit(1), vec)))
-    keyed = df.where(vec.isNotNull()).select(id_column, vkey.alias("vkey"), vec.alias("vec"))
-    distinct = keyed.groupBy("vkey", "vec").agg(F.count("*").alias("n")).checkpoint()
-    total = distinct.count()
-
-    centres = radius = None
-    spark = df.sparkSession
-    spread_out = F.pmod(F.xxhash64("vkey"), F.col("subs"))
+    keyed = keyed_vectors(df, id_column, vector_column)
+    distinct = distinct_vectors(keyed)
     if mode == "exact":
-        wanted = pivots or min(MAX_PIVOTS, max(1, math.ceil(total / block_rows)))
-        sample = distinct.select("vec", "vkey").orderBy("vkey").limit(min(wanted, MAX_PIVOTS)).collect()
-        if not sample:
+        grown = tree_blocks(distinct, block_rows, pivots)
+        if grown is None:
             return df.select(id_column).limit(0)
-        centres, _ = _units(pd.Series([np.asarray(r["vec"], np.float32) for r in sample]))
-        members = _by_pivot(distinct, centres).checkpoint()
-        sizes = members.groupBy("cell").agg(F.count("*").alias("rows"), F.max("angle").alias("radius"))
-        radius = np.full(len(centres), -np.inf)
-        splits = []
-        for r in sizes.collect():  # one row per pivot, MAX_PIVOTS at most
-            radius[r["cell"]] = r["radius"]
-            splits.append((r["cell"], math.ceil(r["rows"] / block_rows)))
-        alone = sum(parts for _, parts in splits) == 1  # one block holds everything
-        subs = F.broadcast(spark.createDataFrame(splits, "cell bigint, subs bigint"))
-        blocks = members.join(subs, "cell").withColumn("sub", spread_out)
+        blocks, nodes = grown[0].withColumn("sig", F.lit(None).cast("array<bigint>")), grown[1]
     else:
         first = distinct.select(F.size("vec").alias("dim")).first()
         if first is None:
             return df.select(id_column).limit(0)
-        alone = False
         members = _by_band(distinct, first["dim"], bands, lsh_bits(threshold, bands)).checkpoint()
-        sizes = members.groupBy("cell").agg(F.count("*").alias("n"))
-        crowded = sizes.where(F.col("n") > block_rows)
+        crowded = members.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
         split = crowded.select("cell", F.ceil(F.col("n") / block_rows).alias("subs"))
         blocks = (
             lookup_join(members, split, "cell", "subs", ["vkey"])
             .withColumn("subs", F.coalesce("subs", F.lit(1).cast("bigint")))
-            .withColumn("sub", spread_out)
+            .withColumn("sub", F.pmod(F.xxhash64("vkey"), F.col("subs")))
         )
 
     def visits(rows: DataFrame, own_block: bool) -> DataFrame:
-        """Rows once per block to compare with, cut into chunks of about ``block_rows`` rows."""
+        """Rows once per block to compare with, named by the block they come from."""
         if mode == "exact":
-            aimed = _probe_cells(rows, centres, radius, threshold).drop("subs")
-            aimed = aimed.join(subs.withColumnRenamed("cell", "t_cell"), "t_cell")
-        else:
-            aimed = rows.withColumn("t_cell", F.col("cell"))
-        aimed = aimed.withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("subs") - 1)))
+            return tree_visits(rows.select("vkey", "unit", "sig", "cell", "sub"), nodes, threshold, block_rows, own_block)
+        aimed = rows.withColumn("t_cell", F.col("cell")).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("subs") - 1)))
         if not own_block:
             aimed = aimed.where((F.col("t_cell") != F.col("cell")) | (F.col("t_sub") != F.col("sub")))
-        chunk = F.concat_ws(":", "cell", "sub")
-        return aimed.select("vkey", "unit", "sig", chunk.alias("chunk"), "t_cell", "t_sub")
+        return aimed.select("vkey", "unit", "sig", F.concat_ws(":", "cell", "sub").alias("chunk"), "t_cell", "t_sub")
 
     counted = _inside_blocks(blocks, threshold)
     if mode == "lsh":  # a vector sits in one cell per band
@@ -256,7 +240,7 @@ def near_duplicates(
     counted = counted.checkpoint()
     enough = F.col("degree") + F.col("n") - 1 >= need
     degrees = counted.select("vkey", "n", "degree").distinct()
-    if not alone:
+    if mode == "lsh" or blocks.select("cell", "sub").distinct().limit(2).count() > 1:
         more = _across_blocks(visits(counted.where(~enough), False), blocks, threshold)
         more = more.select("vkey", F.lit(0).cast("bigint").alias("n"), "degree")
         degrees = degrees.unionByName(more).groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
@@ -271,5 +255,5 @@ def near_duplicates(
         touched = _across_blocks(visits(fringe, True), core_rows, threshold).select("vkey")
         marked = marked.unionByName(degrees.join(touched, "vkey", "left_semi").select("vkey", "n"))
     marks = marked.withColumnRenamed("n", "_copies")
-    found = lookup_join(keyed.select(id_column, "vkey"), marks, "vkey", "_copies", [id_column])
-    return found.where(F.col("_copies").isNotNull()).select(id_column)
+    found = lookup_join(keyed.select("id", "vkey"), marks, "vkey", "_copies", ["id"])
+    return found.where(F.col("_copies").isNotNull()).select(F.col("id").alias(id_column))

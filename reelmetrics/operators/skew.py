@@ -8,14 +8,19 @@ rows need their key's shuffle partition; hot rows travel with a salt instead.
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 1024
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of the optimised plan, at most ``sys.maxsize``."""
+    try:
+        return min(sys.maxsize, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+    except ValueError:  # joins of tables of unknown size multiply to thousands of digits
+        return sys.maxsize
 
 
 def _setting_bytes(df: DataFrame, name: str) -> int:

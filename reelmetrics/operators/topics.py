@@ -1,17 +1,15 @@
-"""Topic clusters over embeddings with Spark ML k-means, and their representatives."""
+"""Topic clusters over embeddings by k-means or density, and their representatives."""
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reelmetrics.operators import kmeans
 from reelmetrics.operators.dedup import top_per_key
+from reelmetrics.operators.density import density_clusters
 from reelmetrics.operators.keyphrases import exploded, phrases, tokens
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.session import shared_folder
@@ -24,34 +22,20 @@ SEED = 42
 RESTARTS = 10
 TITLE_WORDS = 3
 
-PARALLEL_STARTS = 4
-
 
-def _features(df: DataFrame, vector_column: str) -> DataFrame:
-    """L2-normalised ML vectors beside the other columns."""
+def _unit(vector_column: str) -> Column:
+    """The vector at length one; a vector of length zero stays zero."""
     v = F.col(vector_column)
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    unit = F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm), F.lit(0.0)))
-    return df.withColumn("_features", array_to_vector(unit))
-
-
-def _fit(df: DataFrame, k: int, restarts: int) -> KMeansModel:
-    """The model with the lowest training cost of several seeded starts, some at a time."""
-
-    def start(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=SEED + i, featuresCol="_features", predictionCol="topic_id").fit(df)
-
-    with ThreadPool(min(restarts, PARALLEL_STARTS)) as pool:
-        models = pool.map(inheritable_thread_target(df.sparkSession)(start), range(restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    return F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm), F.lit(0.0)))
 
 
 def choose_k(df: DataFrame, vector_column: str, candidates: tuple[int, ...]) -> int:
     """The candidate with the best silhouette (computed by Spark in one pass per candidate)."""
-    data = _features(df.select(vector_column), vector_column).select("_features").persist()
+    data = df.select(array_to_vector(_unit(vector_column)).alias("_features")).persist()
     score = ClusteringEvaluator(featuresCol="_features", predictionCol="topic_id").evaluate
     try:
-        return max(candidates, key=lambda k: score(_fit(data, k, 1).transform(data)))
+        return max(candidates, key=lambda k: score(KMeans(k=k, seed=SEED, featuresCol="_features", predictionCol="topic_id").fit(data).transform(data)))
     finally:
         data.unpersist()
 
@@ -62,26 +46,39 @@ def small_k(k: int, rows: int) -> int:
 
 
 def assign_topics(
-    df: DataFrame, vector_column: str, k: int, restarts: int = 1, max_distance: float | None = None
+    df: DataFrame, vector_column: str, k: int, restarts: int = 1, max_distance: float | None = None, id_column: str = "videoId"
 ) -> DataFrame:
-    """Rows with ``topic_id``; farther than ``max_distance`` from their centre they are noise."""
-    # Starts depend on the order of rows, so rows are dealt and sorted by their own vectors.
-    by = F.xxhash64(vector_column)
-    dealt = df.select(vector_column).repartition(df.sparkSession.sparkContext.defaultParallelism, by).sortWithinPartitions(by)
-    data = _features(dealt, vector_column).select("_features").persist()
-    try:
-        model = _fit(data, k, restarts)
-    finally:
-        data.unpersist()
-    out = model.transform(_features(df, vector_column))
-    if max_distance is not None:
-        centres = np.stack(model.clusterCenters())
-        dim = centres.shape[1]
-        centre = F.slice(F.lit(centres.ravel()), F.col("topic_id") * dim + 1, F.lit(dim))
-        gap = F.zip_with(vector_to_array("_features"), centre, lambda a, b: (a - b) * (a - b))
-        far = F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)) > max_distance
-        out = out.withColumn("topic_id", F.when(far, F.lit(NOISE_TOPIC)).otherwise(F.col("topic_id")))
-    return out.drop("_features")
+    """Rows with ``topic_id``; farther than ``max_distance`` from their centre they are noise.
+
+    Starts are drawn by the ids and clusters are numbered by their smallest id, so the result does
+    not depend on how rows are stored. Rows without a vector are noise.
+    """
+    shared_folder(df.sparkSession)
+    points = df.where(F.col(vector_column).isNotNull()).select(F.col(id_column).alias("id"), _unit(vector_column).alias("unit")).checkpoint()
+    if points.isEmpty():
+        return df.withColumn("topic_id", F.lit(NOISE_TOPIC))
+    centres = kmeans.fit(points, k, restarts)
+    at = kmeans.nearest(F.col("unit"), centres)["at"]
+    first = points.select("id", at.alias("at")).groupBy("at").agg(F.min("id").alias("id")).orderBy("id").collect()  # k rows
+    rank = {r["at"]: i for i, r in enumerate(first)}
+    centres = centres[[c for c in sorted(rank, key=rank.get)]]
+    out = df.withColumn("_near", kmeans.nearest(_unit(vector_column), centres))
+    far = F.col(vector_column).isNull() if max_distance is None else F.col(vector_column).isNull() | (F.col("_near.distance") > max_distance)
+    return out.withColumn("topic_id", F.when(far, F.lit(NOISE_TOPIC)).otherwise(F.col("_near.at"))).drop("_near")
+
+
+def assign_density_topics(df: DataFrame, vector_column: str, id_column: str, similarity: float, min_rows: int) -> DataFrame:
+    """Rows with ``topic_id`` by density: no number of topics is given and sparse rows are noise (-1).
+
+    Topics are numbered by their size, the largest first, then by their smallest id.
+    """
+    found = density_clusters(df, id_column, vector_column, similarity, min_rows).checkpoint()
+    sizes = found.where(F.col("cluster_id") >= 0).groupBy("cluster_id").agg(F.count("*").alias("n"))
+    number = F.row_number().over(Window.orderBy(F.desc("n"), "cluster_id")) - 1  # one row a cluster
+    topics = sizes.select("cluster_id", number.alias("topic_id"), "n")
+    named = lookup_join(found, topics, "cluster_id", "n", [id_column])
+    ids = named.select(id_column, F.coalesce("topic_id", F.lit(NOISE_TOPIC)).alias("topic_id"))
+    return df.join(ids, id_column, "left").withColumn("topic_id", F.coalesce("topic_id", F.lit(NOISE_TOPIC)))
 
 
 def topic_terms(
