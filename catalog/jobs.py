@@ -17,7 +17,7 @@ from reelmetrics.operators.aggregates import topic_overview
 from reelmetrics.operators.density import density_clusters
 from reelmetrics.operators.enrich import enrich_with_comments
 from reelmetrics.operators.entities import extract_brands
-from reelmetrics.operators.keyphrases import keyphrases
+from reelmetrics.operators.keyphrases import keyphrases, rerank
 from reelmetrics.operators.neighbors import near_duplicates
 from reelmetrics.functions.brands import MODEL_PATTERNS, SERIES_PATTERNS
 from reelmetrics.plans.language import language_table
@@ -140,12 +140,34 @@ terms as (
       select doc_id, phrase, round(tf * (ln((1.0 + (select count(*) from documents))::double / (1.0 + df)) + 1.0), 9) as r
       from tf join df using (phrase) qualify row_number() over (partition by doc_id order by r desc, phrase) <= 5)
     select doc_id, coalesce(string_agg(phrase, '; ' order by r desc, phrase), '') as keywords
-    from documents left join best using (doc_id) group by 1""",
+    from (select distinct doc_id from documents) left join best using (doc_id) group by 1""",
 )
 def keyphrase_table(spark, d):
     return keyphrases(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+# Part names as candidate phrases of the vectors, each with the vector of the same number.
+@query(
+    "m5_rerank",
+    """with phrases as (select p_name as phrase, p_partkey as k, e.embedding as p from part join embeddings e on e.vec_id = p_partkey
+      qualify row_number() over (partition by p_name order by p_partkey) = 1),
+    scored as (
+      select vec_id as doc_id, phrase, list_dot_product(list_transform(embedding, lambda x: x::double), list_transform(p, lambda x: x::double))
+        / sqrt(list_dot_product(list_transform(embedding, lambda x: x::double), list_transform(embedding, lambda x: x::double))
+          * list_dot_product(list_transform(p, lambda x: x::double), list_transform(p, lambda x: x::double))) as r
+      from embeddings join phrases on k % 10 = label),
+    best as (select * from scored qualify row_number() over (partition by doc_id order by r desc nulls last, phrase) <= 5)
+    select doc_id, string_agg(phrase, '; ' order by r desc nulls last, phrase) as keywords from best group by doc_id""",
+)
+def rerank_table(spark, d):
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec"), "label")
+    parts = table(spark, d, "part").select(F.col("p_name").alias("phrase"), F.col("p_partkey").alias("doc_id"))
+    named = parts.join(vectors.drop("label"), "doc_id")
+    phrases = named.groupBy("phrase").agg(F.min_by("vec", "doc_id").alias("vec"), (F.min("doc_id") % 10).alias("label"))
+    candidates = vectors.join(phrases.select("phrase", "label"), "label").select("doc_id", "phrase")
+    return rerank(candidates, vectors.select("doc_id", "vec"), phrases.select("phrase", "vec"), "doc_id")
+
+
 @query(
     "nlp_language_table",
     f"""with {SQL_TERMS},

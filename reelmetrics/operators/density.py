@@ -85,12 +85,12 @@ def density_clusters(df: DataFrame, id_column: str, vector_column: str, threshol
     grown = tree_blocks(distinct, block_rows, pivots)
     if grown is None:
         return keyed.select(F.col("id").alias(id_column), F.lit(NOISE).cast("bigint").alias("cluster_id"))
-    blocks, nodes = grown
-    degrees = degrees_in_tree(blocks, nodes, threshold, min_points - 1, block_rows)
+    blocks, tree = grown
+    degrees = degrees_in_tree(blocks, tree, threshold, min_points - 1, block_rows)
     cores = degrees.select("vkey", (F.col("degree") + F.col("n") >= min_points).alias("core"))
     rows = _grouped(blocks.join(cores, "vkey"), threshold).checkpoint()
     with_core = rows.where("core")
-    aimed = tree_visits(rows.select("vkey", "unit", "core", "grp", "cell", "sub"), nodes, threshold, block_rows, True)
+    aimed = tree_visits(rows.select("vkey", "unit", "core", "grp", "cell", "sub"), tree, threshold, block_rows, True)
     touch = _touching(aimed, with_core, threshold).checkpoint()
 
     # Groups are named by vectors; components run over the smallest id of each vector's rows.

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmetrics.operators.dedup import top_per_key
 from reelmetrics.operators.skew import lookup_join
+from reelmetrics.session import shared_folder
 
 TOP_PHRASES = 5
 # Fixed value: words are runs of two or more word characters.
@@ -68,33 +69,26 @@ def _said(codes: np.ndarray, vocabulary: pa.StringArray) -> pa.StringArray:
     return pc.if_else(pa.array(two), pc.binary_join_element_wise(left, right, " "), left)
 
 
-def phrase_spread(texts: DataFrame) -> DataFrame:
-    """(phrase, df) from the words ``_w`` of texts: in how many of them each phrase occurs.
+def _few_splits(texts: DataFrame, by: str) -> DataFrame:
+    """Texts of fewer input splits than there are cores, dealt out first; so few splits are little data."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores, by) if texts.rdd.getNumPartitions() < cores else texts
 
-    Phrases are counted over each batch of texts before they are shuffled.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, codes, _, vocabulary = _coded(batch.column("_w"))
-            codes, n = np.unique(codes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_said(codes, vocabulary), pa.array(n, pa.int64())], ["phrase", "n"])
-
-    return texts.select("_w").mapInArrow(count, "phrase string, n bigint").groupBy("phrase").agg(F.sum("n").alias("df"))
 
+def phrase_counts(texts: DataFrame, id_column: str, total: int, top: int) -> DataFrame:
+    """(id, phrase, tf, df) from (id, _w), the words of ``total`` texts, one row an id; in one pass.
 
-def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
-    """From (id, _w, _total), words and number of texts: (id, phrase, tf) of the phrases that can still be among the best ``top`` of their text; exact.
-
-    Phrases are counted where the text is read. Weights lie between 1 and the largest idf of
-    ``_total`` texts, so a phrase whose count times that is below the count of the text's
-    ``top``-th most frequent phrase is beaten by at least ``top`` others. A text is one row.
+    Rows with tf are the phrases that can still be among the best ``top`` of their text; exact.
+    Weights lie between 1 and the largest idf of ``total`` texts, so a phrase whose count times that
+    is below the count of the text's ``top``-th most frequent phrase is beaten by at least ``top``
+    others. Rows with df (and no id) say in how many texts of a batch a phrase occurs.
     """
-    kind = dict(lists.dtypes)[id_column]
+    kind = dict(texts.dtypes)[id_column]
+    most = float(np.log((1 + total) / 2) + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("_w")
+            words, ids = batch.column("_w"), batch.column(id_column)
             rows, codes, tf, vocabulary = _coded(words)
             if not len(rows):
                 continue
@@ -103,13 +97,21 @@ def contenders(lists: DataFrame, id_column: str, top: int) -> DataFrame:
             enough = np.diff(start) >= top
             bar = np.zeros(len(words))
             bar[enough] = ordered[start[:-1][enough] + top - 1] - 1e-6
-            most = np.log((1 + batch.column("_total").to_numpy()) / 2) + 1
-            kept = tf * most[rows] >= bar[rows]
-            rows, codes, tf = rows[kept], codes[kept], tf[kept]
-            phrase = _said(codes, vocabulary)
-            yield pa.RecordBatch.from_arrays([batch.column(id_column).take(pa.array(rows)), phrase, pa.array(tf)], [id_column, "phrase", "tf"])
+            kept = tf * most >= bar[rows]
+            seen, n = np.unique(codes, return_counts=True)
+            names = ["id", "phrase", "tf", "df"]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows[kept])), _said(codes[kept], vocabulary), pa.array(tf[kept]), pa.nulls(kept.sum(), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(seen), ids.type), _said(seen, vocabulary), pa.nulls(len(seen), pa.int64()), pa.array(n, pa.int64())], names)
+
+    return texts.select(id_column, "_w").mapInArrow(count, f"id {kind}, phrase string, tf bigint, df bigint")
 
-    return lists.select(id_column, "_w", "_total").mapInArrow(count, f"`{id_column}` {kind}, phrase string, tf bigint")
+
+def shared_counts(texts: DataFrame, id_column: str) -> DataFrame:
+    """The same for ids of several rows: the counts of an id's rows are summed, and it is one text."""
+    terms = exploded(texts, phrases(F.col("_w")), "phrase", [id_column])
+    tf = terms.groupBy(F.col(id_column).alias("id"), "phrase").agg(F.count("*").alias("tf")).checkpoint()
+    spread = tf.groupBy("phrase").agg(F.count("*").alias("df")).select(F.lit(None).cast(dict(tf.dtypes)["id"]).alias("id"), "phrase", F.lit(None).cast("bigint").alias("tf"), "df")
+    return tf.withColumn("df", F.lit(None).cast("bigint")).unionByName(spread)
 
 
 def phrase_weights(candidates: DataFrame, spread: DataFrame, id_column: str, total: Column) -> DataFrame:
@@ -129,18 +131,30 @@ def keyphrases(
 ) -> DataFrame:
     """(id, keywords) joined by ``; ``, best first; texts without words give an empty string.
 
+    There is one row for each id. Rows that share an id are one text, of which the counts are summed.
+
     Scores are compared at ``digits`` decimals and ties go by the phrase, so that the result
     does not hang on the last bit of a logarithm.
     """
-    # A scalar subquery: the number of texts is found when the query runs.
-    total = docs.agg(F.count("*").alias("n")).scalar()
-    texts = docs.where(F.col(id_column).isNotNull()).select(id_column, tokens(F.coalesce(text_column, F.lit("")), stop_words).alias("_w"))
-    candidates = contenders(texts.withColumn("_total", total), id_column, top)
-    spread = phrase_spread(texts)
+    shared_folder(docs.sparkSession)
+    total = docs.count()
+    plain = docs.where(F.col(id_column).isNotNull()).select(id_column, text_column)
+    several = plain.groupBy(id_column).agg(F.count("*").alias("n")).where("n > 1").select(id_column).checkpoint()
+    words = tokens(F.coalesce(text_column, F.lit("")), stop_words).alias("_w")
+    if several.isEmpty():
+        counts = phrase_counts(_few_splits(plain, id_column).select(id_column, words), id_column, total, top)
+    else:
+        single = plain.join(several, id_column, "left_anti").select(id_column, words)
+        counts = phrase_counts(single, id_column, total, top).unionByName(shared_counts(plain.join(several, id_column, "left_semi").select(id_column, words), id_column))
+    # Written once, so that texts are read and cut into words once for both uses.
+    counts = counts.checkpoint()
+    candidates = counts.where("tf is not null").select(F.col("id").alias(id_column), "phrase", "tf")
+    spread = counts.where("df is not null").groupBy("phrase").agg(F.sum("df").alias("df"))
+    total = F.lit(total)
     scored = phrase_weights(candidates, spread, id_column, total)
     ranked = scored.withColumn("_r", F.round("score", digits))
     best = top_per_key(ranked.select(id_column, "phrase", "_r"), [id_column], [F.desc("_r"), F.asc("phrase")], top)
-    return _joined(docs.select(id_column), best, id_column)
+    return _joined(docs.select(id_column).distinct(), best, id_column)
 
 
 def _joined(ids: DataFrame, best: DataFrame, id_column: str) -> DataFrame:

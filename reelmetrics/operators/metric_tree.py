@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ FAN = 1 << FAN_BITS
 LEVELS = 5
 DEALT_ROWS = 4096
 CANDIDATES = 8  # rows looked at for each centre
+LEAF_BLOCKS = 4  # a leaf holds so many times ``block_rows`` at most
 SLACK = 1e-3  # float32 error in angles, on the safe side
 
 MEMBER = "vkey string, n bigint, unit array<float>, node bigint, angle float"
@@ -61,9 +63,21 @@ def _nearest(rows: pd.DataFrame, unit: np.ndarray, centres: np.ndarray, ids: np.
     return rows[["vkey", "n"]].assign(unit=list(unit), node=ids[home], angle=angles(cos[np.arange(len(unit)), home]))
 
 
-def _first_level(vectors: DataFrame, wanted: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (vkey, n, vec) at the nearest of ``wanted`` centres, and these (node, centre)."""
-    spark = vectors.sparkSession
+@dataclass
+class Tree:
+    """members (vkey, n, unit, node) with the leaf each is in; nodes (node, centre, radius, rows, leaf) of all levels.
+
+    The nodes of the first level, ``FAN`` at most, are also held by the driver.
+    """
+
+    members: DataFrame
+    nodes: DataFrame
+    levels: int
+    top: pd.DataFrame
+
+
+def _first_level(vectors: DataFrame, wanted: int) -> tuple[DataFrame, np.ndarray]:
+    """Rows (vkey, n, vec) at the nearest of ``wanted`` centres, and these."""
     wanted = min(wanted, FAN)
     sample = vectors.select("vec", "vkey").orderBy("vkey").limit(CANDIDATES * wanted).collect()
     centres, ok = units(pd.Series([np.asarray(r["vec"], np.float32) for r in sample]))
@@ -76,8 +90,7 @@ def _first_level(vectors: DataFrame, wanted: int) -> tuple[DataFrame, DataFrame]
                 unit, ok = units(batch["vec"])
                 yield _nearest(batch, unit, centres, ids)[ok]
 
-    known = spark.createDataFrame([(int(i), [float(x) for x in c]) for i, c in zip(ids, centres)], "node bigint, centre array<float>")
-    return vectors.mapInPandas(assign, MEMBER), known
+    return vectors.mapInPandas(assign, MEMBER), centres
 
 
 def _next_level(rows: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -108,33 +121,41 @@ def _next_level(rows: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]
     return near, known
 
 
-def grow(vectors: DataFrame, block_rows: int, total: int, pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(members, nodes) of the tree over distinct vectors (vkey, n, vec); those of length zero are left out.
+NODE = "node bigint, centre array<float>, rows bigint, radius float, leaf boolean"
+
 
-    members carry the leaf they are in, nodes (node, centre, radius, rows, leaf) are of all levels.
-    Nodes up to twice ``block_rows`` stay leaves unless they are far wider than their siblings; on the
-    last level all do.
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("node").agg(F.count("*").alias("rows"), F.max("angle").alias("radius"))
+
+
+def grow(vectors: DataFrame, block_rows: int, total: int, pivots: int | None = None) -> Tree:
+    """The tree over distinct vectors (vkey, n, vec); those of length zero are left out.
+
+    Nodes up to ``LEAF_BLOCKS`` times ``block_rows`` stay leaves unless they are far wider than their
+    siblings; on the last level all do.
     """
-    rows, known = _first_level(vectors, pivots or max(1, math.ceil(total / block_rows)))
-    done, nodes = [], []
-    for level in range(1, LEVELS + 1):
-        rows = rows.checkpoint()
-        sizes = rows.groupBy("node").agg(F.count("*").alias("rows"), F.max("angle").alias("radius"))
-        here = known.join(sizes, "node").withColumn("up", F.shiftright("node", FAN_BITS))
-        usual = here.groupBy("up").agg(F.median("radius").alias("usual"))
-        split = F.col("rows") > 2 * block_rows
-        if level > 1:
-            # Parting helped its siblings, so it holds separate groups and would be in reach of everything.
-            split = split | ((F.col("rows") > 1) & (F.col("radius") > 2 * F.col("usual") + 0.1))
-        here = here.join(usual, "up").withColumn("leaf", ~split if level < LEVELS else F.lit(True)).drop("up", "usual").checkpoint()
-        nodes.append(here)
-        large = here.where(~F.col("leaf")).select("node", "rows")
-        if level == LEVELS or large.isEmpty():
-            done.append(rows)
-            break
+    spark, most = vectors.sparkSession, LEAF_BLOCKS * block_rows
+    rows, centres = _first_level(vectors, pivots or max(1, math.ceil(total / (2 * block_rows))))
+    rows = rows.checkpoint()
+    sizes = {r["node"]: r for r in _sizes(rows).collect()}  # one row a centre
+    top = [(i, [float(x) for x in c], sizes[i]["rows"], float(sizes[i]["radius"]), sizes[i]["rows"] <= most) for i, c in enumerate(centres, 1 << FAN_BITS) if i in sizes]
+    frame = pd.DataFrame(top, columns=["node", "centre", "rows", "radius", "leaf"])
+    here = spark.createDataFrame(top, NODE)
+    if frame["leaf"].all():
+        return Tree(rows, here, 1, frame)
+    done, nodes, level = [], [here], 1
+    while True:
+        large = nodes[-1].where(~F.col("leaf")).select("node", "rows")
         done.append(rows.join(large, "node", "left_anti"))
         rows, known = _next_level(rows.join(large, "node"), block_rows)
-    return _all(done), _all(nodes)
+        rows, level = rows.checkpoint(), level + 1
+        here = known.join(_sizes(rows), "node").withColumn("up", F.shiftright("node", FAN_BITS))
+        usual = here.groupBy("up").agg(F.median("radius").alias("usual"))
+        # Parting helped the siblings of a far wider node, so it holds separate groups and would be in reach of everything.
+        split = (F.col("rows") > most) | ((F.col("rows") > 1) & (F.col("radius") > 2 * F.col("usual") + 0.1))
+        nodes.append(here.join(usual, "up").withColumn("leaf", ~split if level < LEVELS else F.lit(True)).select(*nodes[0].columns).checkpoint())
+        if level == LEVELS or nodes[-1].where(~F.col("leaf")).isEmpty():
+            return Tree(_all([*done, rows]), _all(nodes), level, frame)
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:
@@ -156,24 +177,34 @@ def _in_reach(pairs: DataFrame, reach: float) -> DataFrame:
     return pairs.select("a", "b", "ca", "cb", "ra", "rb").mapInPandas(keep, "a bigint, b bigint")
 
 
-def leaves_in_reach(nodes: DataFrame, reach: float, asking: DataFrame | None = None) -> DataFrame:
+def leaves_in_reach(tree: Tree, reach: float, asking: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of leaves that may hold vectors within ``reach`` of each other, each leaf with itself too.
 
-    ``asking`` (node) restricts a to some leaves. Pairs of nodes are walked down from the root
-    together; below a pair out of reach nothing is looked at.
+    ``asking`` (node) restricts a to some leaves. Pairs of nodes are walked down from the first
+    level together; below a pair out of reach nothing is looked at.
     """
+    spark, nodes, top = tree.nodes.sparkSession, tree.nodes, tree.top
     asked = asking.select(F.col("node").alias("path")) if asking is not None else None
-    pairs = nodes.sparkSession.createDataFrame([(1, 1)], "a bigint, b bigint")
+
+    def ancestors(level: int) -> DataFrame:
+        deep = F.floor(F.length(F.bin("path")) / FAN_BITS).cast("int")
+        return asked.select(F.when(deep > level, F.expr(f"shiftright(path, {FAN_BITS} * (cast(floor(length(bin(path)) / {FAN_BITS}) as int) - {level}))")).otherwise(F.col("path")).alias("a")).distinct()
+
+    if not len(top):
+        return spark.createDataFrame([], "a bigint, b bigint")
+    unit, radius, ids = matrix(top["centre"]), top["radius"].to_numpy(), top["node"].to_numpy()
+    one, other = np.nonzero(angles(unit @ unit.T) <= radius[:, None] + radius[None, :] + (reach + SLACK))
+    pairs = spark.createDataFrame(pd.DataFrame({"a": ids[one], "b": ids[other]}), "a bigint, b bigint")
+    if asked is not None:
+        pairs = pairs.join(ancestors(1), "a", "left_semi")
     depth = F.floor(F.length(F.bin("node")) / FAN_BITS)
-    levels = nodes.agg(F.max(depth)).first()[0] or 0
-    for level in range(1, levels + 1):
+    for level in range(2, tree.levels + 1):
         # Children of the nodes above; a leaf goes on as itself.
         kids = nodes.where(depth == level).withColumn("up", F.shiftright("node", FAN_BITS)).unionByName(nodes.where((depth < level) & F.col("leaf")).withColumn("up", F.col("node")))
         one = kids.select(F.col("up").alias("a"), F.col("node").alias("to_a"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))
         other = kids.select(F.col("up").alias("b"), F.col("node").alias("to_b"), F.col("centre").alias("cb"), F.col("radius").alias("rb"))
         if asked is not None:
-            at = F.when(F.floor(F.length(F.bin("path")) / FAN_BITS) > level, F.expr(f"shiftright(path, cast({FAN_BITS} * (floor(length(bin(path)) / {FAN_BITS}) - {level}) as int))")).otherwise(F.col("path"))
-            one = one.join(asked.select(at.alias("to_a")).distinct(), "to_a", "left_semi")
+            one = one.join(ancestors(level).withColumnRenamed("a", "to_a"), "to_a", "left_semi")
         near = pairs.join(one, "a").join(other, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"), "ca", "cb", "ra", "rb")
         pairs = _in_reach(near, reach).checkpoint()
     return pairs

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from reelmetrics.operators.metric_tree import SLACK, angles, grow, leaves_in_reach, matrix, units
+from reelmetrics.operators.metric_tree import LEAF_BLOCKS, SLACK, Tree, angles, grow, leaves_in_reach, matrix, units
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.session import shared_folder
 
@@ -34,7 +34,7 @@ from reelmetrics.session import shared_folder
 SIMILARITY = 0.92
 MIN_GROUP = 2
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 BANDS = 16
 
 MEMBER = "vkey string, n bigint, unit array<float>, cell bigint, sig array<bigint>"
@@ -122,11 +122,11 @@ def _across_blocks(queries: DataFrame, data: DataFrame, threshold: float) -> Dat
     return found.groupBy("vkey").agg(F.sum("degree").alias("degree"))
 
 
-def _aimed(rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def _aimed(rows: DataFrame, tree: Tree, threshold: float) -> DataFrame:
     """Each row once per cell (``t_cell``) that may hold a neighbour of it."""
     reach = math.acos(threshold)
-    near = leaves_in_reach(nodes, reach, rows.select(F.col("cell").alias("node")).distinct())
-    cells = nodes.where("leaf").select(F.col("node").alias("b"), "centre", "radius", F.col("rows").alias("t_rows"))
+    near = leaves_in_reach(tree, reach, rows.select(F.col("cell").alias("node")).distinct())
+    cells = tree.nodes.where("leaf").select(F.col("node").alias("b"), "centre", "radius", F.col("rows").alias("t_rows"))
     targets = near.join(cells, "b").select(F.col("a").alias("cell"), F.col("b").alias("t_cell"), "centre", "radius", "t_rows")
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,37 +150,43 @@ def keyed_vectors(df: DataFrame, id_column: str, vector_column: str) -> DataFram
     return df.where(vec.isNotNull()).select(F.col(id_column).alias("id"), vkey.alias("vkey"), vec.alias("vec"))
 
 
-def tree_blocks(distinct: DataFrame, block_rows: int, pivots: int | None = None) -> tuple[DataFrame, DataFrame] | None:
-    """Vectors in blocks (cell, sub) of the metric tree, and its nodes; none if there are no vectors."""
+def tree_blocks(distinct: DataFrame, block_rows: int, pivots: int | None = None) -> tuple[DataFrame, Tree] | None:
+    """Vectors in blocks (cell, sub) of the metric tree, and the tree; none if there are no vectors."""
     total = distinct.count()
     if not total:
         return None
-    members, nodes = grow(distinct, block_rows, total, pivots)
-    parts = nodes.where("leaf").select("node", _subs(F.col("rows"), block_rows).alias("subs"))
-    blocks = members.join(parts, "node").withColumn("sub", F.pmod(F.xxhash64("vkey"), F.col("subs")))
-    return blocks.select("vkey", "n", "unit", F.col("node").alias("cell"), "sub").checkpoint(), nodes
+    tree = grow(distinct, block_rows, total, pivots)
+    parts = tree.nodes.where("leaf").select("node", _subs(F.col("rows"), block_rows).alias("subs"))
+    blocks = tree.members.join(parts, "node").withColumn("sub", F.pmod(F.xxhash64("vkey"), F.col("subs")))
+    return blocks.select("vkey", "n", "unit", F.col("node").alias("cell"), "sub"), tree
+
+
+def _one_block(tree: Tree) -> bool:
+    return tree.levels == 1 and len(tree.top) <= 1
 
 
 def _subs(rows: Column, block_rows: int) -> Column:
-    """A leaf beyond twice the size of a block is split by hash."""
-    return F.when(rows > 2 * block_rows, F.ceil(rows / block_rows)).otherwise(1).cast("bigint")
+    """A leaf of the last level that is still too large is split by hash."""
+    return F.when(rows > LEAF_BLOCKS * block_rows, F.ceil(rows / block_rows)).otherwise(1).cast("bigint")
 
 
-def tree_visits(rows: DataFrame, nodes: DataFrame, threshold: float, block_rows: int, own_block: bool) -> DataFrame:
+def tree_visits(rows: DataFrame, tree: Tree, threshold: float, block_rows: int, own_block: bool) -> DataFrame:
     """Rows once per block to compare with, named by the block they come from (``chunk``)."""
-    aimed = _aimed(rows, nodes, threshold).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), _subs(F.col("t_rows"), block_rows) - 1)))
+    aimed = _aimed(rows, tree, threshold).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), _subs(F.col("t_rows"), block_rows) - 1)))
     if not own_block:
         aimed = aimed.where((F.col("t_cell") != F.col("cell")) | (F.col("t_sub") != F.col("sub")))
     return aimed.withColumn("chunk", F.concat_ws(":", "cell", "sub")).drop("cell", "sub", "t_rows")
 
 
-def degrees_in_tree(blocks: DataFrame, nodes: DataFrame, threshold: float, need: int, block_rows: int) -> DataFrame:
+def degrees_in_tree(blocks: DataFrame, tree: Tree, threshold: float, need: int, block_rows: int) -> DataFrame:
     """(vkey, n, degree): neighbours of other vectors, counted in full where the own block has fewer than ``need``."""
     marked = blocks.withColumn("sig", F.lit(None).cast("array<bigint>"))
     counted = _inside_blocks(marked, threshold).checkpoint()
     found = counted.select("vkey", "n", "degree")
+    if _one_block(tree):
+        return found
     open_rows = counted.where(F.col("degree") + F.col("n") - 1 < need).select("vkey", "unit", "sig", "cell", "sub")
-    more = _across_blocks(tree_visits(open_rows, nodes, threshold, block_rows, False), marked, threshold)
+    more = _across_blocks(tree_visits(open_rows, tree, threshold, block_rows, False), marked, threshold)
     more = more.select("vkey", F.lit(0).cast("bigint").alias("n"), "degree")
     return found.unionByName(more).groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
 
@@ -210,7 +216,7 @@ def near_duplicates(
         grown = tree_blocks(distinct, block_rows, pivots)
         if grown is None:
             return df.select(id_column).limit(0)
-        blocks, nodes = grown[0].withColumn("sig", F.lit(None).cast("array<bigint>")), grown[1]
+        blocks, tree = grown[0].withColumn("sig", F.lit(None).cast("array<bigint>")), grown[1]
     else:
         first = distinct.select(F.size("vec").alias("dim")).first()
         if first is None:
@@ -227,7 +233,7 @@ def near_duplicates(
     def visits(rows: DataFrame, own_block: bool) -> DataFrame:
         """Rows once per block to compare with, named by the block they come from."""
         if mode == "exact":
-            return tree_visits(rows.select("vkey", "unit", "sig", "cell", "sub"), nodes, threshold, block_rows, own_block)
+            return tree_visits(rows.select("vkey", "unit", "sig", "cell", "sub"), tree, threshold, block_rows, own_block)
         aimed = rows.withColumn("t_cell", F.col("cell")).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("subs") - 1)))
         if not own_block:
             aimed = aimed.where((F.col("t_cell") != F.col("cell")) | (F.col("t_sub") != F.col("sub")))
@@ -240,7 +246,7 @@ def near_duplicates(
     counted = counted.checkpoint()
     enough = F.col("degree") + F.col("n") - 1 >= need
     degrees = counted.select("vkey", "n", "degree").distinct()
-    if mode == "lsh" or blocks.select("cell", "sub").distinct().limit(2).count() > 1:
+    if mode == "lsh" or not _one_block(tree):
         more = _across_blocks(visits(counted.where(~enough), False), blocks, threshold)
         more = more.select("vkey", F.lit(0).cast("bigint").alias("n"), "degree")
         degrees = degrees.unionByName(more).groupBy("vkey").agg(F.max("n").alias("n"), F.sum("degree").alias("degree"))
