@@ -156,6 +156,22 @@ def test_keyphrases_match_a_direct_count(spark):
     assert got == {i: best(t) for i, t in enumerate(docs)}
 
 
+@pytest.mark.parametrize("accuracy", [20, 1000])
+def test_median_sketch_keeps_its_bound(spark, accuracy):
+    rng = np.random.default_rng(accuracy)
+    groups = {"a": rng.lognormal(5, 2, 3000).tolist(), "b": [7.0] * 50, "c": [1.0, 2.0, 9.0], None: rng.normal(0, 1, 500).tolist()}
+    rows = [(f"{k}{i}", k, float(x)) for k, values in groups.items() for i, x in enumerate(values)] + [("n", "empty", None)]
+    df = spark.createDataFrame(rows, "videoId string, channelTitle string, viewCount double").repartition(6)
+    got = {r["channelTitle"]: r for r in A.channel_aggregate(df, accuracy=accuracy).collect()}
+    assert A.channel_aggregate(df).columns == A.channel_aggregate(df, accuracy=accuracy).columns
+    assert got["empty"]["views_med"] is None and len(got) == 5
+    for k, values in groups.items():
+        middle = got[k]["views_med"]
+        below, upto = sum(x < middle for x in values), sum(x <= middle for x in values)
+        slack = len(values) / accuracy + 1
+        assert below <= len(values) / 2 + slack and upto >= len(values) / 2 - slack
+
+
 def test_keyphrases_of_repeated_ids(spark):
     """Rows of one id are one text: counts are summed and no phrase stands twice."""
     import duckdb

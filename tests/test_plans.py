@@ -5,6 +5,7 @@ import re
 import pytest
 
 import catalog
+from reelmetrics.operators.keyphrases import _few_splits, phrase_counts
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -49,7 +50,14 @@ def test_comment_texts_are_shuffled_once(spark):
 
 
 def test_keyphrases_never_shuffle_texts(spark):
+    """After the counts, which are written, no text moves; before them only texts of few splits are dealt out."""
     assert not any(shuffled(spark, "m5_keyphrases", c) for c in ("text", "_w", "phrases"))
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(100, numPartitions=cores).selectExpr("id as videoId", "'a b' as text")
+    assert _few_splits(many, "videoId") is many
+    words = many.selectExpr("videoId", "split(text, ' ') as _w")
+    counted = phrase_counts(words, "videoId", 100, 5)._jdf.queryExecution().toString()
+    assert "MapInArrow" in counted and "Exchange" not in counted
 
 
 def test_top_k_needs_no_global_sort(spark):
