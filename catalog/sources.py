@@ -8,7 +8,7 @@ from catalog.base import VIDEOS, query, table, videos
 from reelmetrics import schemas
 from reelmetrics.operators.aggregates import table_counts
 from reelmetrics.session import new_folder
-from reelmetrics.sources import api, keyed, tables
+from reelmetrics.sources import api, dated, history, keyed, tables
 from reelmetrics.streaming import incremental
 
 TABLES = (
@@ -51,14 +51,13 @@ def nested(df, schema):
 PAGE = 50  # items per API response
 
 
-@query(
-    "s3_search_items",
-    """select event_id::varchar as "videoId", strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as "publishedAt",
+SEARCH_SQL = """select event_id::varchar as "videoId", strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as "publishedAt",
       event_type as search_query, coalesce(case user_id % 3 when 0 then 'BR' when 1 then 'US' end, 'GLOBAL') as market,
       coalesce(case user_id % 3 when 0 then 'pt' when 1 then 'en' end, 'any') as language_hint
-    from events where event_type <> 'error'""",
-)
-def search_items(spark, d):
+    from events where event_type <> 'error'"""
+
+
+def search_pages(spark, d):
     item = F.struct(
         F.struct(F.expr("case when event_type <> 'error' then cast(event_id as string) end").alias("videoId")).alias("id"),
         F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt")).alias("snippet"),
@@ -73,12 +72,22 @@ def search_items(spark, d):
         )
         .agg(F.collect_list(item).alias("items"))
     )
-    return api.search_items(nested(pages, schemas.SEARCH_RESPONSE)).drop("arrival")
+    return pages
 
 
-@query(
-    "s4_video_rows",
-    """select o_orderkey::varchar as "videoId", o_custkey::varchar as "channelId", o_orderstatus as title,
+@query("s3_search_items", SEARCH_SQL)
+def search_items(spark, d):
+    return api.search_items(nested(search_pages(spark, d), schemas.SEARCH_RESPONSE)).drop("arrival")
+
+
+@query("s3_search_files", SEARCH_SQL)
+def search_files(spark, d):
+    folder = new_folder(spark, "search-responses")
+    search_pages(spark, d).write.json(folder)
+    return api.search_items(api.read_search(spark, folder)).drop("arrival")
+
+
+VIDEO_SQL = """select o_orderkey::varchar as "videoId", o_custkey::varchar as "channelId", o_orderstatus as title,
       null::varchar as description, 'c' || o_custkey as "channelTitle",
       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as "publishedAt", 'PT' || (o_orderkey % 90) || 'S' as duration,
       case when o_orderstatus = 'F' then o_orderpriority end as market,
@@ -86,9 +95,10 @@ def search_items(spark, d):
       case when o_orderstatus = 'F' then 'any' end as language_hint,
       floor(o_totalprice)::bigint::varchar as "viewCount", (o_orderkey % 7)::varchar as "likeCount",
       null::varchar as "commentCount", null::varchar as "dislikeCount"
-    from orders""",
-)
-def video_rows(spark, d):
+    from orders"""
+
+
+def video_pages(spark, d):
     orders = table(spark, d, "orders")
     key = F.col("o_orderkey").cast("string")
     item = F.struct(
@@ -118,9 +128,23 @@ def video_rows(spark, d):
         F.concat(F.lit("q"), F.col("o_orderstatus")).alias("search_query"),
         F.lit("any").alias("language_hint"),
     )
+    return pages, found
+
+
+@query("s4_video_rows", VIDEO_SQL)
+def video_rows(spark, d):
+    pages, found = video_pages(spark, d)
     return api.video_rows(nested(pages, schemas.VIDEO_RESPONSE), found)
 
 
+@query("s4_video_files", VIDEO_SQL)
+def video_files(spark, d):
+    pages, found = video_pages(spark, d)
+    folder = new_folder(spark, "video-responses")
+    pages.write.json(folder)
+    return api.video_rows(api.read_videos(spark, folder), found)
+
+
 @query(
     "s5_channel_rows",
     """select c_custkey::varchar as "channelId", c_name as "channelDescription", c_mktsegment as "channelCountry",
@@ -149,16 +173,15 @@ def channel_rows(spark, d):
     return api.channel_rows(api.read_channels(spark, folder))
 
 
-@query(
-    "s6_comment_rows",
-    """with t as (
+THREAD_SQL = """with t as (
       select *, turn // 20 as page, min(turn) over (partition by conv_id, turn // 20) as head from conversations)
     select conv_id::varchar as "videoId", conv_id || '-' || turn as "commentId", role as author, text,
       length(text) % 7 as "likeCount", null::varchar as "publishedAt", turn <> head as "isReply",
       case when turn <> head then conv_id || '-' || head end as "replyTo"
-    from t""",
-)
-def comment_rows(spark, d):
+    from t"""
+
+
+def comment_threads(spark, d):
     comment = F.struct(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         F.struct(
@@ -177,7 +200,19 @@ def comment_rows(spark, d):
             F.struct(F.expr("transform(slice(turns, 2, size(turns)), t -> t.c)").alias("comments")).alias("replies"),
         )
     )
-    return api.comment_rows(nested(threads, schemas.COMMENT_THREAD))
+    return threads
+
+
+@query("s6_comment_rows", THREAD_SQL)
+def comment_rows(spark, d):
+    return api.comment_rows(nested(comment_threads(spark, d), schemas.COMMENT_THREAD))
+
+
+@query("s6_comment_files", THREAD_SQL)
+def comment_files(spark, d):
+    folder = new_folder(spark, "thread-responses")
+    comment_threads(spark, d).write.json(folder)
+    return api.comment_rows(api.read_threads(spark, folder))
 
 
 def customers_as_videos(spark, d):
@@ -262,33 +297,57 @@ def present_rows(spark, d):
     return table(spark, d, "documents").select("doc_id", "lang").join(labels, "doc_id")
 
 
-@query(
-    "i1_collection_window",
-    """with mark as (select max(ts) as m from events where event_type = 'error')
+WINDOW_SQL = """with mark as (select max(ts) as m from events where event_type = 'error')
     select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as "publishedAt" from events, mark
-    where ts >= date_trunc('second', m) - interval 10 day""",
-)
+    where ts >= date_trunc('second', m) - interval 10 day"""
+
+
+@query("i1_collection_window", WINDOW_SQL)
 def collection_window(spark, d):
     events = table(spark, d, "events").withColumnRenamed("ts", "publishedAt")
     new = incremental.collect_new(events.where("event_type = 'error'"), events, days=10)
     return new.select("event_id", F.date_format("publishedAt", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"))
 
 
-@query(
-    "i2_skip_existing_append",
-    """with old as (select item_id as "videoId", item_id * 1000 as "commentId", text from benchmark)
+@query("i1_dated_window", WINDOW_SQL)
+def dated_window(spark, d):
+    path = new_folder(spark, "events-by-day")
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt")
+    events = table(spark, d, "events").select("event_id", "event_type", text)
+    dated.write_by_day(events, path)
+    return incremental.read_new(spark, events.where("event_type = 'error'"), path, days=10).select("event_id", "publishedAt")
+
+
+APPEND_SQL = """with old as (select item_id as "videoId", item_id * 1000 as "commentId", text from benchmark)
     select * from old
     union all select conv_id, conv_id * 1000 + turn, text from conversations
-    where conv_id not in (select "videoId" from old)""",
-)
-def skip_existing_append(spark, d):
+    where conv_id not in (select "videoId" from old)"""
+
+
+def old_and_incoming(spark, d):
     old = table(spark, d, "benchmark").select(
         F.col("item_id").alias("videoId"), (F.col("item_id") * 1000).alias("commentId"), "text"
     )
     incoming = table(spark, d, "conversations").select(
         F.col("conv_id").alias("videoId"), (F.col("conv_id") * 1000 + F.col("turn")).alias("commentId"), "text"
     )
-    return incremental.append_pending(old, incoming, "videoId", "commentId")
+    return old, incoming
+
+
+@query("i2_skip_existing_append", APPEND_SQL)
+def skip_existing_append(spark, d):
+    return incremental.append_pending(*old_and_incoming(spark, d), "videoId", "commentId")
+
+
+@query("i2_bucketed_history", APPEND_SQL)
+def bucketed_history(spark, d):
+    path = new_folder(spark, "history")
+    name = path.rpartition("/")[2].replace("-", "_")
+    old, incoming = old_and_incoming(spark, d)
+    history.append_load(old, name, path, "videoId", "commentId", skip_existing=False)
+    history.append_load(incoming, name, path, "videoId", "commentId")
+    history.append_load(incoming, name, path, "videoId", "commentId")  # nothing is pending any more
+    return history.read_history(spark, name, "commentId")
 
 
 @query(

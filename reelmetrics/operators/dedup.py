@@ -13,8 +13,8 @@ from reelmetrics.functions.text import is_blank
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], limit: int = 1) -> DataFrame:
-    """The first ``limit`` rows of each key in ``order``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """The first ``limit`` rows of each key in ``order``; any of them where there is no order."""
+    w = Window.partitionBy(*keys).orderBy(*(order or [F.lit(0)]))
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit).drop("_rank")
 
 

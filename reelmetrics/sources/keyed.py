@@ -19,9 +19,11 @@ from pyspark.sql.types import StructType
 from reelmetrics.operators.dedup import keep_first, total_order
 from reelmetrics.sources.tables import create_text, delete, files, read_text, subfolders
 
-BUCKETS = 64
-#: Files a bucket is written in at most, so that no task holds a whole bucket.
-BUCKET_FILES = 8
+#: Buckets of a table at least, and rows a bucket should have after the first load.
+LEAST_BUCKETS = 8
+BUCKET_ROWS = 4_000_000
+#: Rows a file should have; a bucket that has grown is written in more files, by as many tasks.
+FILE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -75,10 +77,23 @@ def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of all manifests, newest first, whether finished or not."""
+    names = (n.removesuffix(".json") for n in files(spark, f"{root}/manifest"))
+    return sorted((int(n) for n in names if n.isdigit()), reverse=True)
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Published versions, oldest first."""
-    names = (n.removesuffix(".json") for n in files(spark, f"{root}/manifest"))
-    return sorted(v for n in names if n.isdigit() and manifest(spark, root, v := int(n)) is not None)
+    return [v for v in reversed(_numbers(spark, root)) if manifest(spark, root, v) is not None]
+
+
+def newest(spark: SparkSession, root: str) -> tuple[int, dict | None]:
+    """The newest published version and what it consists of; 0 and None before the first load."""
+    for version in _numbers(spark, root):
+        if (found := manifest(spark, root, version)) is not None:
+            return version, found
+    return 0, None
 
 
 def manifest(spark: SparkSession, root: str, version: int) -> dict | None:
@@ -95,10 +110,8 @@ def _paths(root: str, found: dict) -> list[str]:
 
 def read_keyed(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
     """A version, the newest if none is named, or ``None`` before the first load."""
-    done = versions(spark, root)
-    if not done:
-        return None
-    return _read(spark, root, manifest(spark, root, done[-1] if version is None else version))
+    found = newest(spark, root)[1] if version is None else manifest(spark, root, version)
+    return None if found is None else _read(spark, root, found)
 
 
 def _read(spark: SparkSession, root: str, found: dict, only: set[int] | None = None) -> DataFrame:
@@ -108,29 +121,37 @@ def _read(spark: SparkSession, root: str, found: dict, only: set[int] | None = N
 
 
 def upsert(
-    batch: DataFrame | None, root: str, key: str, order: str | None = None, buckets: int = BUCKETS
+    batch: DataFrame | None, root: str, key: str, order: str | None = None, buckets: int | None = None
 ) -> UpsertCounts | None:
     """Load a batch into the table at ``root``; no batch, an empty one or no key column: no-op.
 
     Of equal keys in a batch the one with the largest ``order`` counts, then the one with the
-    larger other columns; ``order`` is stored like any other column. ``buckets`` is fixed by
-    the first load.
+    larger other columns; ``order`` is stored like any other column. The number of buckets is
+    fixed by the first load: ``buckets``, or one for each ``BUCKET_ROWS`` of its rows. Name it
+    where a first load is small against what follows: a load rewrites the buckets it touches.
     """
     if batch is None or key not in batch.columns:
         return None
     spark = batch.sparkSession
-    done = versions(spark, root)
-    found = manifest(spark, root, done[-1]) if done else {"n": buckets, "buckets": {}, "schema": None}
-    n = found["n"]
-    # At most one row for each bucket.
+    done, found = newest(spark, root)
     keyed = batch.where(F.col(key).isNotNull())
-    touched = {r["b"] for r in keyed.select(_bucket(key, n).alias("b")).distinct().collect()}
-    if not touched:
+    if found is None:
+        rows = keyed.count()
+        found = {"n": buckets or max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)), "buckets": {}, "schema": None}
+        n, touched, old = found["n"], set(), batch.where(F.lit(False))
+    else:
+        n = found["n"]
+        # At most one row for each bucket.
+        by_bucket = {r["b"]: r["count"] for r in keyed.groupBy(_bucket(key, n).alias("b")).count().collect()}
+        rows, touched = sum(by_bucket.values()), set(by_bucket)
+        old = _read(spark, root, found, touched)
+    if not rows:
         return None
-    old = _read(spark, root, found, touched) if done else batch.where(F.lit(False))
+    stored = sum(b["rows"] for i, b in found["buckets"].items() if int(i) in touched)
+    parts = -(-(rows + stored) // (FILE_ROWS * (len(touched) or n)))
     merged = merge_by_key(old, batch, key, order).withColumn("_bucket", _bucket(key, n))
     folder = uuid.uuid4().hex
-    dealt = merged.repartition("_bucket", F.pmod(F.xxhash64(F.lit(1), F.col(key)), F.lit(BUCKET_FILES)))
+    dealt = merged.repartition("_bucket", F.pmod(F.xxhash64(F.lit(1), F.col(key)), F.lit(parts)))
     dealt.write.partitionBy("_bucket").parquet(f"{root}/data/{folder}")
     # The flags stay in the files, beside the table's own columns; readers don't ask for them.
     written = spark.read.parquet(f"{root}/data/{folder}")
@@ -141,11 +162,10 @@ def upsert(
     schema = merged.drop("_inserted", "_updated", "_bucket").schema
     new = {str(r["_bucket"]): {"folder": folder, "rows": r["rows"]} for r in counted}
     whole = {"n": n, "buckets": found["buckets"] | new, "schema": schema.jsonValue()}
-    if versions(spark, root) != done:
+    if newest(spark, root)[0] != done:
         raise RuntimeError(f"another load of {root} was published meanwhile; load the batch again")
     # Numbers of manifests that weren't finished are passed over.
-    names = (f.removesuffix(".json") for f in files(spark, f"{root}/manifest"))
-    last = max((int(f) for f in names if f.isdigit()), default=0)
+    last = max(_numbers(spark, root), default=0)
     create_text(spark, f"{root}/manifest/{last + 1}.json", json.dumps(whole))
     return UpsertCounts(
         sum(r["inserted"] for r in counted), sum(r["updated"] for r in counted), sum(b["rows"] for b in whole["buckets"].values())

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType
 
-from reelmetrics.functions.coerce import LOOKBACK_DAYS, look_back, timestamp
+from reelmetrics.functions.coerce import LOOKBACK_DAYS, look_back
 from reelmetrics.operators.aggregates import high_water_mark
 from reelmetrics.operators.dedup import keep_last_merge
 from reelmetrics.operators.joins import pending
+from reelmetrics.sources.dated import moment as moment_of, read_days
 from reelmetrics.sources.keyed import upsert
 
 
@@ -25,15 +25,12 @@ def in_window(
     """Items published inside [start, end], without an end all from ``start`` on.
 
     Items without a readable date can't be shown to be old, so they stay unless ``undated`` is
-    off. The bounds are literals; on a timestamp column they prune files, on text they don't.
+    off. The bounds are literals; on a timestamp column they prune files, on text they don't
+    (``read_new`` reads a table that lies by day).
     """
-    if isinstance(items.schema[name].dataType, StringType):
-        moment = timestamp(F.col(name))
-    else:
-        moment = F.col(name)
+    moment = moment_of(items, name)
     kind = items.select(moment.alias("m")).schema["m"].dataType.simpleString()
 
-
     def bound(text: str) -> Column:
         return F.lit(text.replace("T", " ").rstrip("Z")).cast(kind)
 
@@ -50,10 +47,27 @@ def collect_new(
     return in_window(items, window_start(known, name, days), end, name)
 
 
+def read_new(
+    spark: SparkSession,
+    known: DataFrame,
+    path: str,
+    name: str = "publishedAt",
+    days: int = LOOKBACK_DAYS,
+    end: str | None = None,
+    undated: bool = True,
+) -> DataFrame:
+    """As ``collect_new``, over a table that ``write_by_day`` wrote: only the window's days are read."""
+    start = window_start(known, name, days)
+    return in_window(read_days(spark, path, start, end, undated), start, end, name, undated)
+
+
 def append_pending(
     old: DataFrame, incoming: DataFrame, skip_key: str, row_key: str, order: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Old rows plus incoming rows of groups not collected yet; later rows of a key win."""
+    """Old rows plus incoming rows of groups not collected yet; later rows of a key win.
+
+    This moves the old rows; a history that grows load by load is kept with ``sources.history``.
+    """
     return keep_last_merge(old, pending(incoming, old, skip_key), [row_key], list(order))
 
 
