@@ -60,6 +60,11 @@ class PieceModel:
         for part in (left, right):
             part, made = np.array(part, np.int64), np.array(whole, np.int64)
             self.volatile[part[self.rank[made] <= self.rank[part]]] = True
+        #: Ranks whose merges may be followed by one as good or better, or that several pieces share.
+        shared = np.bincount(self.rank[list(normal.values())], minlength=len(order)) > 1
+        self.unsteady = shared
+        self.unsteady[self.rank[self.volatile]] = True
+        self.longest = max(map(len, normal), default=1)
         self.char = np.full(0x110000, -1, np.int32)
         for piece, i in normal.items():
             if len(piece) == 1:
