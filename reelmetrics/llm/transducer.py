@@ -28,6 +28,9 @@ KEPT_PARTS = 300_000
 COMPOSED_CHARS = 1 << 17
 #: Slots of the table of pair weights that a task has worked out.
 WEIGHT_SLOTS = 1 << 21
+#: Characters beyond which a text is composed apart, and the arcs whose meetings are weighed at once.
+LONG_TEXT = 1024
+ARCS = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,17 +151,39 @@ class Encoder:
         return out
 
     def space_run(self, n: int) -> list[int]:
-        """Pieces of ``n`` space marks that merge with nothing else."""
+        """Pieces of ``n`` space marks that merge with nothing else.
+
+        Equal neighbours are kept as one piece and a number, which stays a short list; a merge
+        that no better one can follow is made for all of them at once.
+        """
         if n not in self.spaces:
-            model, parts = self.model, [SPACE] * n
+            model, runs = self.model, [(SPACE, n)]
             while True:
-                made = [model.rank[model.normal[a + b]] if a + b in model.normal else None for a, b in zip(parts, parts[1:])]
-                known = [r for r in made if r is not None]
-                if not known:
+                best, at, inside = None, 0, False
+                for i, (piece, times) in enumerate(runs):
+                    after = runs[i + 1][0] if i + 1 < len(runs) else None
+                    for other, within in ((piece if times > 1 else None, True), (after, False)):
+                        whole = model.normal.get(piece + other) if other else None
+                        if whole is not None and (best is None or model.rank[whole] < best):
+                            best, at, inside = model.rank[whole], i, within
+                if best is None:
                     break
-                at = made.index(min(known))
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            self.spaces[n] = [i for p in parts for i in self.of_piece(p)]
+                piece, times = runs[at]
+                if inside:
+                    whole = piece * 2
+                    done = 1 if model.unsteady[best] else times // 2
+                    new, end = [(whole, done), (piece, times - 2 * done)], at + 1
+                else:
+                    other, more = runs[at + 1]
+                    new, end = [(piece, times - 1), (piece + other, 1), (other, more - 1)], at + 2
+                joined: list[tuple[str, int]] = []
+                for piece, times in (*runs[max(0, at - 1) : at], *new, *runs[end : end + 1]):
+                    if times and joined and joined[-1][0] == piece:
+                        joined[-1] = (piece, joined[-1][1] + times)
+                    elif times:
+                        joined.append((piece, times))
+                runs[max(0, at - 1) : end + 1] = joined
+            self.spaces[n] = [i for piece, times in runs for i in self.of_piece(piece) * times]
         return self.spaces[n]
 
     def of_piece(self, piece: str) -> list[int]:
@@ -168,8 +193,52 @@ class Encoder:
     def of_bytes(self, char: str) -> list[int]:
         return [self.model.bytes[b] for b in char.encode()] if self.model.fallback else [self.model.unknown]
 
+    def abreast(self, n: int, begin: np.ndarray, start: np.ndarray, end: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All texts a character at a time. Gives the piece on the path to each place, and where it begins.
+
+        States stand at the place after a character, so that neighbours in the flat array don't share one.
+        """
+        local = end - begin
+        by = np.argsort(local, kind="stable")
+        begin, start, end, piece, local = begin[by], start[by], end[by], piece[by], local[by]
+        bounds = np.searchsorted(local, np.arange(1, local[-1] + 2))
+        state, back = np.full(n, -2, np.int64), np.zeros(n, np.int64)
+        for lo, hi in zip(bounds, bounds[1:]):
+            s, e, p = start[lo:hi], end[lo:hi], piece[lo:hi]
+            first = s == begin[lo:hi]
+            last = np.where(first, -1, state[s - 1])
+            fits = np.flatnonzero(first | ((last > -2) & self.finite(last, p)))
+            state[e[fits] - 1], back[e[fits] - 1] = p[fits], s[fits]
+        return state, back
+
+    def along(self, n: int, begin: np.ndarray, start: np.ndarray, end: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``abreast``, for few long texts: the weights of all pairs of arcs that meet are looked
+        up beforehand, a block of arcs at a time, and the arcs are relaxed one after the other."""
+        by = np.argsort(end, kind="stable")
+        begin, start, end, piece = begin[by], start[by], end[by], piece[by]
+        scale = self.model.size + 2
+        state, back = [-2] * n, [0] * n
+        free: set[int] = set()
+        seen = np.zeros(0, np.int64)
+        for lo in range(0, len(end), ARCS):
+            part = slice(lo, lo + ARCS)
+            first = start[part] == begin[part]
+            low = np.searchsorted(end, start[part], "left")
+            count = np.where(first, 0, np.searchsorted(end, start[part], "right") - low)
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            meets = (piece[np.repeat(low, count) + within] + 2) * scale + np.repeat(piece[part], count) + 2
+            new = np.setdiff1d(meets, seen)
+            free.update(new[self.machine.allowed(new // scale - 2, new % scale - 2)].tolist())
+            seen = np.union1d(seen, new)
+            for s, e, p, f in zip(start[part].tolist(), end[part].tolist(), piece[part].tolist(), first.tolist()):
+                if f or (state[s - 1] + 2) * scale + p + 2 in free:
+                    state[e - 1], back[e - 1] = p, s
+        return np.array(state, np.int64), np.array(back, np.int64)
+
     def segment(self, texts: list[str]) -> list[list[int]]:
         """Shortest paths for texts with at most one space mark, at their front."""
+        if not texts:
+            return []
         m, model = self.machine, self.model
         size = np.array([len(t) for t in texts])
         chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
@@ -194,18 +263,8 @@ class Encoder:
         arcs.append((odd, odd + 1, np.full(len(odd), -1)))
         start, end, piece = (np.concatenate(x) for x in zip(*arcs))
         # Relax the arcs in the order of their ends; state[p] is the piece on the path to p.
-        local = end - begin[word[start]]
-        by = np.argsort(local, kind="stable")
-        start, end, piece, local = start[by], end[by], piece[by], local[by]
-        bounds = np.searchsorted(local, np.arange(1, (size.max() if len(size) else 0) + 2))
-        # State by the position after a character, so that neighbours in the flat array don't share one.
-        state, back = np.full(len(chars), -2, np.int64), np.zeros(len(chars), np.int64)
-        for lo, hi in zip(bounds, bounds[1:]):
-            s, e, p = start[lo:hi], end[lo:hi], piece[lo:hi]
-            first = s == begin[word[s]]
-            last = np.where(first, -1, state[s - 1])
-            fits = np.flatnonzero(first | ((last > -2) & self.finite(last, p)))
-            state[e[fits] - 1], back[e[fits] - 1] = p[fits], s[fits]
+        relax = self.along if size.max() > LONG_TEXT else self.abreast
+        state, back = relax(len(chars), begin[word[start]], start, end, piece)
         # Walk back from the ends of all texts together.
         where = ends.copy()
         steps_word, steps_piece, steps_at = [], [], []
@@ -228,6 +287,15 @@ class Encoder:
             out[i] = [t for g, p in zip(out[i], pos[cut[i] : cut[i + 1]]) for t in ([g] if g >= 0 else self.of_bytes(text[p - base]))]
         return out
 
+    def segments(self, texts: list[str]) -> list[list[int]]:
+        """Shortest paths; long texts apart from the others, which would take as many steps as they."""
+        out: list[list[int]] = [[]] * len(texts)
+        for long in (False, True):
+            which = [i for i, t in enumerate(texts) if (len(t) > LONG_TEXT) == long]
+            for i, ids in zip(which, self.segment([texts[i] for i in which])):
+                out[i] = ids
+        return out
+
     def parts(self, keys: list[str]) -> None:
         """Encode new parts and keep them."""
         texts, front = [], []
@@ -237,7 +305,7 @@ class Encoder:
             marks = len(t) - len(body)
             front.append(marks if not body else max(0, marks - 1))
             texts.append(SPACE + body if marks and body else body)
-        found = iter(self.segment([t for t in texts if t]))
+        found = iter(self.segments([t for t in texts if t]))
         alone = self.model.normal.get(SPACE)
         for k, t, n in zip(keys, texts, front):
             ids = next(found) if t else []

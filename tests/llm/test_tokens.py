@@ -1,6 +1,7 @@
 """Token counts and the transducer against the library itself."""
 
 import random
+import time
 
 import pytest
 from cases import no_documents, odd_documents
@@ -8,6 +9,7 @@ from cases import no_documents, odd_documents
 spm = pytest.importorskip("sentencepiece")
 tokenizers = pytest.importorskip("public_tokenizers")
 
+from reelmetrics.llm import token_counts as token_counts_module  # noqa: E402
 from reelmetrics.llm.pieces import PieceModel  # noqa: E402
 from reelmetrics.llm.token_counts import text_lengths, token_counts  # noqa: E402
 from reelmetrics.llm.transducer import Encoder, Transducer, encode_decode  # noqa: E402
@@ -45,6 +47,47 @@ def test_paths_equal_the_library(library):
     assert encoder.decode(ids, offsets) == library.decode(library.encode(texts()))
 
 
+def long_texts() -> dict[str, str]:
+    """Parts without a place to cut: letters as they fall, words run together, repeats, characters without a piece."""
+    rng = random.Random(9)
+    words = ["the", "there", "and", "then", "ten", "action", "der", "interest", "in", "on", "est", "er", "e", "a", "aa", "==", "日"]
+    return {
+        "letters": "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400_000)),
+        "base64": "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=200_000)),
+        "words": "".join(rng.choices(words, k=60_000)),
+        "one word": "tion" * 50_000 + "th" * 20_000 + "the" * 20_000,
+        "few letters": "".join(rng.choices("aeth", k=60_000)),
+        "odd": "".join(rng.choices("ab😀\u200b漢字日本語", k=60_000)),
+        "spaces": " " * 100_000,
+        "spaces and a word": "a" + " " * 100_001 + "b" + " " * 5_000,
+    }
+
+
+@pytest.mark.parametrize("name", long_texts())
+def test_long_parts_equal_the_library_in_linear_time(library, name):
+    text, began = long_texts()[name], time.monotonic()
+    n = text_lengths(PieceModel(PATH), {}, [text])[0]
+    ids, _ = Encoder(Transducer(PATH)).encode([text])
+    assert time.monotonic() - began < 60
+    want = library.encode(text)
+    assert n == len(want) and ids.tolist() == want
+
+
+def test_long_and_short_parts_merge_alike(library, monkeypatch):
+    """Everything through the merging of long parts, pairs of all ranks and runs of spaces included."""
+    monkeypatch.setattr(token_counts_module, "LONG_PART", 0)
+    rng = random.Random(11)
+    many = texts() + ["".join(rng.choices("aethinorsd ", k=rng.randint(1, 300))) for _ in range(1500)] + [" " * n for n in range(400)]
+    assert text_lengths(PieceModel(PATH), {}, many) == [len(x) for x in library.encode(many)]
+
+
+def test_runs_of_spaces_equal_the_library(library):
+    encoder = Encoder(Transducer(PATH))
+    runs = [" " * n + end for n in (*range(70), 255, 256, 1000, 4097) for end in ("", "x", "\n")]
+    ids, offsets = encoder.encode(runs)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == library.encode(runs)
+
+
 def test_broken_bytes_decode_like_the_library(library):
     import numpy as np
 
