@@ -3,6 +3,10 @@
 A page becomes a flat list of text blocks. Each is described by its word count and link
 density, those of the blocks before and after it, and the kind of element it stands in; a
 decision tree grown from a small labelled table tells which blocks are the article's.
+
+Whether an element stands beside the article is first guessed from its tag and names, and taken
+back where the page says otherwise: where everything that is marked as an article lies inside
+such elements, or, on pages without such a mark, where one of them holds most of the text.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ BESIDE_NAMES = frozenset(
     "promo promotion recommended related replies reply share sharing sidebar signup social sponsor sponsored subscribe taboola tags "
     "teaser toolbar topbar widget".split()
 )
+# Names that stay beside the article whatever they hold.
+OTHERS_NAMES = frozenset("comment comments consent cookie cookies disqus gdpr modal popup related recommended replies reply sidebar".split())
 ARTICLE_NAMES = frozenset("article articlebody content entry main post postbody story".split())
 NAME = re.compile(r"[A-Za-z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
@@ -66,6 +72,9 @@ IN_THE_OPEN = (
     (1, 0.0, 44, 0.0, 39, 0.0, 0, 1), (90, 0.0, 2, 1.0, 3, 1.0, 0, 1), (45, 0.0, 0, 0.0, 0, 0.0, 0, 1), (33, 0.1, 3, 1.0, 60, 0.0, 0, 1),
     (2, 1.0, 0, 0.0, 2, 1.0, 0, 0), (3, 1.0, 2, 1.0, 1, 1.0, 0, 0), (4, 0.0, 3, 1.0, 2, 1.0, 0, 0), (6, 1.0, 30, 0.0, 5, 1.0, 0, 0),
     (9, 0.8, 6, 1.0, 7, 0.9, 0, 0), (7, 0.0, 5, 1.0, 4, 0.0, 0, 0), (3, 0.0, 4, 0.0, 2, 0.0, 0, 0), (2, 0.0, 3, 0.0, 0, 0.0, 0, 0),
+    (18, 0.0, 40, 0.0, 6, 0.0, 0, 1), (9, 0.0, 36, 0.0, 8, 0.0, 0, 1), (22, 0.0, 9, 0.0, 12, 0.0, 0, 1), (14, 0.0, 21, 0.0, 11, 0.0, 0, 1),
+    (14, 0.0, 30, 0.0, 28, 0.0, 0, 1), (14, 0.0, 30, 0.9, 28, 0.9, 0, 0), (10, 0.0, 24, 0.05, 33, 0.0, 0, 1), (10, 0.0, 24, 0.8, 33, 1.0, 0, 0),
+    (16, 0.1, 22, 0.0, 26, 0.1, 0, 1), (16, 0.1, 22, 0.9, 26, 0.8, 0, 0), (7, 0.0, 40, 0.0, 35, 0.0, 1, 1), (7, 0.0, 40, 0.9, 35, 0.9, 1, 0),
     (5, 0.0, 6, 1.0, 3, 1.0, 1, 0), (30, 0.9, 4, 0.0, 28, 0.8, 0, 0), (18, 0.7, 30, 0.9, 5, 1.0, 0, 0), (1, 0.0, 2, 0.0, 3, 1.0, 0, 0),
 )
 
@@ -77,14 +86,35 @@ def labelled() -> tuple[np.ndarray, np.ndarray]:
     return data[:, :-1], data[:, -1]
 
 
+class Element:
+    """A tracked element: whether it seems to stand beside the article (``surely``: by more than
+    its name), whether it is marked as the article, and the words it holds."""
+
+    __slots__ = ("article", "beside", "surely", "tag", "words")
+
+    def __init__(self, tag: str, beside: bool, surely: bool, article: bool):
+        self.tag, self.beside, self.surely, self.article = tag, beside, surely, article
+        self.words = 0
+
+
 class Block:
-    __slots__ = ("article", "beside", "heading", "linked", "parts", "words")
+    """A run of text. ``within`` holds the tracked elements it stands in, the outermost first."""
+
+    __slots__ = ("heading", "linked", "parts", "within", "words")
 
-    def __init__(self, beside: bool, article: bool, heading: bool):
+    def __init__(self, within: tuple[Element, ...], heading: bool):
         self.parts: list[str] = []
-        self.beside, self.article, self.heading = beside, article, heading
+        self.within, self.heading = within, heading
         self.words = self.linked = 0
 
+    @property
+    def beside(self) -> bool:
+        return any(e.beside for e in self.within)
+
+    @property
+    def article(self) -> bool:
+        return any(e.article for e in self.within)
+
 
 def tag_end(html: str, at: int, quotes: dict[str, bool]) -> int:
     """The place of the > that ends the tag, quoted ones passed over; -1 if there is none.
@@ -109,23 +139,57 @@ def tag_end(html: str, at: int, quotes: dict[str, bool]) -> int:
     return -1
 
 
-def kind_of(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element stands beside the article, and whether it holds it."""
+def kind_of(tag: str, attributes: str, in_article: bool) -> Element:
+    """What the tag and its attributes say of an element."""
     beside = tag in BESIDE or (tag == "header" and not in_article)
+    surely = beside and tag not in ("form", "header")
     article = tag in ("article", "main")
     if attributes:
         for _, value in ATTRIBUTE.findall(attributes):
             names = {w.lower() for w in WORDS.findall(value)}
             beside |= bool(names & BESIDE_NAMES) and not names & ARTICLE_NAMES or names == {"complementary"}
-            article |= bool(names & ARTICLE_NAMES) and tag not in ("body", "html")
-        beside |= bool(HIDDEN.search(attributes))
-    return beside, article and not beside
+            surely |= bool(names & OTHERS_NAMES) and not names & ARTICLE_NAMES or names == {"complementary"}
+            article |= bool(names & ARTICLE_NAMES)
+        hidden = bool(HIDDEN.search(attributes))
+        beside, surely = beside | hidden, surely | hidden
+    if tag in ("body", "html"):
+        beside = surely = article = False
+    return Element(tag, beside, surely, article and not beside)
+
+
+def reconsider(found: list[Block]) -> None:
+    """Take back what was guessed of elements that hold the article.
+
+    The text of a page whose marked articles all lie in elements that only seem to stand beside
+    it is the longest of these articles; on a page without a mark, elements that hold more than
+    half of the words outside links (of text that doesn't surely stand beside) are no side matter.
+    """
+    if any(b.article and not b.beside for b in found):
+        return
+    total = 0
+    for block in found:
+        if not any(e.surely for e in block.within):
+            total += block.words - block.linked
+            for e in set(block.within):
+                e.words += block.words - block.linked
+    marked = [b for b in found if b.article and not any(e.surely for e in b.within)]
+    if marked:
+        main = max((e for b in marked for e in b.within if e.article), key=lambda e: e.words)
+        for block in marked:
+            if main in block.within:
+                for e in block.within[: block.within.index(main)]:
+                    e.beside = False
+        return
+    for block in found:
+        for e in block.within:
+            if e.beside and not e.surely and 2 * e.words > total:
+                e.beside = False
 
 
 def blocks(html: str) -> list[Block]:
     """The flat text blocks of a page, in order; broken markup is read as browsers do."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[Element] = []
     current: Block | None = None
     heading, links, at, n = False, 0, 0, len(html)
     quotes: dict[str, bool] = {}
@@ -136,8 +200,7 @@ def blocks(html: str) -> list[Block]:
         if current is None:
             if not text.strip():
                 return
-            beside = any(s[1] for s in stack)
-            current = Block(beside, any(s[2] for s in stack), heading)
+            current = Block(tuple(stack), heading)
             out.append(current)
         current.parts.append(text)
         if links:
@@ -188,11 +251,11 @@ def blocks(html: str) -> list[Block]:
         if tag in TRACKED:
             if closing:
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
+                    if stack[k].tag == tag:
                         del stack[k:]
                         break
             elif tag not in EMPTY and not attributes.endswith("/"):
-                stack.append((tag, *kind_of(tag, attributes, any(s[2] for s in stack))))
+                stack.append(kind_of(tag, attributes, any(e.article for e in stack)))
                 if tag in BLOCKS:
                     links = 0
     return out
@@ -211,6 +274,7 @@ def main_text(html: str, classifier: Node) -> str:
         if words:
             block.words = len(words)
             found.append((block, " ".join(words)))
+    reconsider([b for b, _ in found])
     size = [(b.words, min(1.0, b.linked / b.words)) for b, _ in found]
     kept = []
     for i, (block, text) in enumerate(found):
