@@ -11,6 +11,7 @@ from reelmetrics.functions.coerce import numeric, timestamp
 from reelmetrics.functions.text import relevant
 from reelmetrics.operators import filters as P
 from reelmetrics.operators.joins import with_channels
+from reelmetrics.plans import curate
 from reelmetrics.plans.reports import fill_unknown, with_rates
 
 
@@ -70,6 +71,33 @@ def min_duration(spark, d):
     return P.long_enough(df)
 
 
+STAGE_SQL = f"""with {VIDEOS}, timed as (
+      select *, case "videoId" % 3 when 0 then "videoId" % 90 when 1 then 60 + "videoId" % 7 end as duration_sec from videos)
+    select "videoId", "viewCount", duration_sec, left("publishedAt", 10) as published_date from timed where duration_sec >= 30"""
+
+
+def timed_videos(spark, d):
+    """Videos with ISO durations; those of a third have a form that is not read."""
+    text = F.expr(
+        "case videoId % 3 when 0 then 'PT' || (videoId % 90) || 'S' when 1 then 'PT1M' || (videoId % 7) || 'S' else 'P1DT5M' end"
+    )
+    return curate.clean_videos(videos(spark, d).withColumns({"duration": text, "viewCount": F.col("viewCount").cast("string")}))
+
+
+def stage_columns(df):
+    return df.select("videoId", "viewCount", "duration_sec", F.col("published_date").cast("string").alias("published_date"))
+
+
+@query("p4_filter_stage", STAGE_SQL)
+def filter_stage(spark, d):
+    return stage_columns(curate.filtered_videos(timed_videos(spark, d)))
+
+
+@query("t2_filter_stage_top", STAGE_SQL + ' order by "viewCount" desc, "videoId" limit 50')
+def filter_stage_top(spark, d):
+    return stage_columns(curate.top_filtered(timed_videos(spark, d)))
+
+
 @query(
     "p5_multi_select",
     f"""with {VIDEOS}, {CHANNELS} select "videoId", market, "channelCountry" from videos left join channels using ("channelId")

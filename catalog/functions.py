@@ -15,6 +15,7 @@ from reelmetrics.functions.coerce import duration_seconds, look_back, utc_date
 from reelmetrics.functions.sentiment import sentiment
 from reelmetrics.operators.entities import extract_brands
 from reelmetrics.operators.spam import joined_signals, spam_label, text_flags
+from reelmetrics.plans.reports import spam_base
 from reelmetrics.sources.api import ANY_LANGUAGE, ANY_MARKET
 
 
@@ -243,6 +244,33 @@ def cleaned(spark, d):
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), T.clean_display(F.col("text")).alias("shown"))
 
 
+def sql_display(name: str) -> str:
+    hidden = "".join(chr(92) + x for x in ("x{FFFD}", "x{0}-", "x{8}", "x{B}-", "x{1F}"))
+    cleared = f"regexp_replace({name}, '[{hidden}]', '', 'g')"
+    return f"coalesce(nullif({sql_strip(cleared)}, ''), 'unknown')"
+
+
+@query(
+    "p1_spam_base",
+    f"""select doc_id as "commentId", {sql_display("lang")} as author, {sql_display("text")} as text,
+      case doc_id % 4 when 0 then 0 else n_chars end::double as "likeCount", (doc_id % 5)::double as spam_score,
+      case doc_id % 2 when 0 then 'links' else '' end as spam_signals,
+      case doc_id % 3 when 0 then 'spam' else 'clean' end as spam_label
+    from documents where doc_id % 3 < 2""",
+)
+def labelled_comments(spark, d):
+    comments = table(spark, d, "documents").select(
+        F.col("doc_id").alias("commentId"),
+        F.col("lang").alias("author"),
+        "text",
+        F.expr("case doc_id % 4 when 0 then 'x' else cast(n_chars as string) end").alias("likeCount"),
+        F.expr("cast(doc_id % 5 as string)").alias("spam_score"),
+        F.expr("case doc_id % 2 when 0 then 'links' end").alias("spam_signals"),
+        F.expr("case doc_id % 3 when 0 then 'spam' when 1 then 'clean' end").alias("spam_label"),
+    )
+    return spam_base(comments)
+
+
 @query(
     "f20_defaults",
     """select doc_id, coalesce(case when quality = 1 then 'BR' end, 'GLOBAL') as market,
