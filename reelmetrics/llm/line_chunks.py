@@ -4,10 +4,12 @@ A rolling hash over the hashes of neighbouring lines chooses the ends of chunks,
 or deleted lines move only the ends beside them. Chunks have two lines at least. A chunk that
 stands anywhere else, too, is removed everywhere but at its first place.
 
-Such chunks alone miss a passage that no whole chunk lies in. So every line with text is also a
-chunk with the next one, and what is removed is the union of all chunks that repeat: wherever
-two or more lines in a row repeat an earlier place, the common run goes to its last line.
-Chunks are found by 64-bit hashes and told apart by the SHA-256 of their bytes.
+Such chunks alone miss a passage that no whole chunk lies in: whether a short passage holds one
+hangs on the lines beside it. So every line with text is also a chunk with the next one, as if
+each place were a boundary for some hash, and what is removed is the union of all chunks that
+repeat: wherever two or more lines in a row repeat an earlier place, the common run goes to its
+last line. Chunks are found by 64-bit hashes and told apart by the SHA-256 of their bytes, which
+has one size however long a line is.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from reelmetrics.llm.common import BASE, flat, key_filter, may_hold, mix, pieces, span_hashes
+from reelmetrics.operators.skew import lookup_join
+from reelmetrics.session import shared_folder
 
 Bounds = Callable[[pa.Array], tuple[np.ndarray, ...]]
 
@@ -47,8 +51,8 @@ def text_lines(texts: pa.Array):
 
 
 def chunk_bounds(texts: pa.Array, rolling: int = ROLLING, divisor: int = DIVISOR):
-    """Of the chunks of two or more lines with any text in them: owner (index of the text),
-    first line, number of lines, and begin and end in ``data``; and ``data`` itself.
+    """Of the chunks with two or more lines that have text: owner (index of the text), first
+    line, number of lines, and begin and end in ``data``; and ``data`` itself.
 
     A chunk ends after a line whose rolling hash qualifies if that of the line before doesn't,
     which keeps ends two lines apart; the text's last line ends the last chunk, and a line is
@@ -66,8 +70,8 @@ def chunk_bounds(texts: pa.Array, rolling: int = ROLLING, divisor: int = DIVISOR
     end |= line == size - 1
     last = np.flatnonzero(end)
     first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
-    many = last > first
-    many &= solid[ends[last]] > solid[starts[first]] if len(last) else many
+    said = np.concatenate(([0], np.cumsum(solid[ends] > solid[starts])))
+    many = said[last + 1] - said[first] > 1
     first, last = first[many], last[many]
     return owner[first], line[first], last - first + 1, starts[first], ends[last], data
 
@@ -96,7 +100,10 @@ def repeated(rows: DataFrame, bounds: Bounds) -> DataFrame:
 
     ``rows`` has doc_id, row (which tells rows of one id apart) and text, without nulls. Of a
     chunk that overlaps its own first place (a line said over and over) only the rest is given.
+    The texts are read twice: for the hashes that repeat, and for the places of their chunks,
+    which are written once. A chunk that very many texts hold is looked up by broadcast.
     """
+    shared_folder(rows.sparkSession)
     hashes = rows.select("text").mapInArrow(lambda b: _hashes(b, bounds), "h long")
     often = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     shared = rows.sparkSession.sparkContext.broadcast(key_filter(often))
@@ -118,10 +125,11 @@ def repeated(rows: DataFrame, bounds: Bounds) -> DataFrame:
                 ["doc_id", "row", "line", "n_lines", "chunk"],
             )
 
-    found = rows.mapInArrow(candidates, "doc_id long, row long, line long, n_lines long, chunk binary")
+    found = rows.mapInArrow(candidates, "doc_id long, row long, line long, n_lines long, chunk binary").checkpoint()
     place = F.struct("doc_id", "row", "line")
-    first = found.groupBy("chunk").agg(F.min(place).alias("kept"), F.max(place).alias("other")).where("kept <> other").drop("other")
-    again = found.join(first, "chunk").where(place != F.col("kept"))
+    first = found.groupBy("chunk").agg(F.min(place).alias("kept"), F.max(place).alias("other"), F.count("*").alias("n"))
+    first = first.where("kept <> other").drop("other")
+    again = lookup_join(found, first, "chunk", weight="n", spread=ROW + ["line"], small=False).where(place != F.col("kept"))
     own = (F.col("kept.doc_id") == F.col("doc_id")) & (F.col("kept.row") == F.col("row"))
     end = F.col("line") + F.col("n_lines")
     line = F.when(own, F.greatest("line", F.col("kept.line") + F.col("n_lines"))).otherwise(F.col("line"))
@@ -171,7 +179,7 @@ def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Of equal chunks of ``chunk_bounds`` the one with the smallest id, then the first line, stays,
     and the lines of the others go; the lines that are left are joined as they were. A text may
-    become empty. Chunks of one line or of white space alone stay, and so does a passage that no
+    become empty. Chunks with text in fewer than two lines stay, and so does a passage that no
     whole chunk lies in. Rows with equal ids and texts are one place; rows with a null id or text
     are neither changed nor counted. All other columns are kept, so are the two new names if
     ``docs`` has them (its own are replaced).
