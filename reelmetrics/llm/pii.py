@@ -10,6 +10,7 @@ expressions, and are compiled to one expression. Texts never leave Spark's own o
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -40,10 +41,12 @@ MORE = {
     "card": r"(?<![0-9])(?:[0-9]{12,19}+|[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])",
     "phone": r"(?<![0-9A-Za-z.])(?:\+?[0-9]{1,2}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
-# What a text must hold for a pattern to match at all, looked up before the pattern is tried.
+# What a text must hold for a pattern to match at all, looked up before the pattern is tried: one
+# of each group. Any match has these in it, so nothing is lost.
+DOTS = ("[dot]", "(dot)", "{dot}", " dot ", ".")
 NEEDS = {
-    ("base", "email"): ("@",), ("base", "phone"): ("+",),
-    ("more", "email"): ("[at]", "(at)", "{at}", " dot ", "[dot]", "(dot)"), ("more", "ip"): ("[.]", "(.)", "[dot]", "(dot)", ":"),
+    ("base", "email"): (("@",), (".",)), ("base", "phone"): (("+",),),
+    ("more", "email"): (("@", "[at]", "(at)", "{at}", " at "), DOTS), ("more", "ip"): (("[.]", "(.)", "[dot]", "(dot)", ":"),),
 }
 # Words before a span that speak for its kind, and words that speak for another meaning.
 SPEAKS_FOR = {
@@ -62,6 +65,7 @@ FORMS = {
     "email": (
         "anna.k@mail.example.com", "j_doe+x@example.org", "jo [at] example [dot] com", "kim (at) mail (dot) example (dot) org",
         "sam{at}example.net", "pat(at)example(dot)com", "nora at example dot com", "lee99 [at] mail.example.org",
+        "jo @ example.com", "pat@example{dot}com",
     ),
     "ip": (
         "10.20.30.40", "192.168.4.77", "8.8.4.4", "198[.]51[.]100[.]7", "203(.)0(.)113(.)9", "172[dot]16[dot]0[dot]5",
@@ -89,6 +93,9 @@ SAY_YES = {
     "card": ("card no. {} expires", "paid with visa {} online", "credit {} charged"),
     "phone": ("call {} now", "phone: {}.", "fax {} or write"),
 }
+# An address whose only sign is the word "at" counts where the words before it speak for one.
+UNMARKED = ("jo at example.com", "nora.w at mail.example.org", "kim7 at example.net")
+NOT_MARKED = ("look at example.com", "arrived at 10.30", "stay at home.then", "sold at 4.99")
 SAY_NOTHING = ("she saw {} there", "and {}, then", "so {}. End", "the last was {}")
 SAY_NO = ("order {} shipped", "version {} is out", "token {} kept", "ref {} closed", "serial no. {} made")
 # Two in a row, whose base patterns run into each other.
@@ -118,6 +125,12 @@ def labelled() -> tuple[list[str], list[set[tuple[int, int, int]]]]:
         for form in ALIKE[kind]:
             for pattern in (*SAY_NOTHING, *SAY_NO):
                 say(pattern, (kind, form), true=False)
+    for form in UNMARKED:
+        for pattern in SAY_YES["email"]:
+            say(pattern, ("email", form))
+    for form in NOT_MARKED:
+        for pattern in (*SAY_NOTHING, *SAY_NO):
+            say(pattern, ("email", form), true=False)
     for pattern in IN_A_ROW:
         kinds = re.findall(r"\{(\w+)\}", pattern)
         for i in range(5):
@@ -134,8 +147,18 @@ def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where ``value`` is worked out once however often it is named: an array of
+    one holds it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def luhn(digits: Column) -> Column:
     """Whether the check digit fits; false for a string without digits."""
+    return once(digits, _luhn)
+
+
+def _luhn(digits: Column) -> Column:
     n = F.length(digits)
 
     def add(total: Column, i: Column) -> Column:
@@ -146,24 +169,47 @@ def luhn(digits: Column) -> Column:
     return (n > 0) & (F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(0), add) % 10 == 0)
 
 
-def found(text: Column, kind: str, more: bool) -> Column:
+#: Elements that one fold goes over. A fold copies what it has gathered at each element, so long
+#: arrays are folded block by block, which keeps the work about linear.
+BLOCK = 256
+
+
+def scan(items: Column, start: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """A fold that gives out elements: ``step`` maps state and item to the next state and an array
+    of ``kind``. The result has the last ``state`` and the arrays in a row (``out``).
+
+    ``items`` must be a column or variable, as it is read for every block.
+    """
+    none, nothing = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def add(done: Column, item: Column) -> Column:
+        state, out = step(done["state"], item)
+        return F.struct(state.alias("state"), F.concat(done["out"], out).alias("out"))
+
+    def block(done: Column, k: Column) -> Column:
+        start = F.struct(done["state"].alias("state"), none.alias("out"))
+        return F.aggregate(
+            F.slice(items, k * BLOCK + 1, BLOCK), start, add, lambda f: F.struct(f["state"].alias("state"), F.concat(done["out"], F.array(f["out"])).alias("out"))
+        )
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    blocks = F.when(F.size(items) > 0, blocks).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(blocks, F.struct(start.alias("state"), nothing.alias("out")), block, lambda d: F.struct(d["state"].alias("state"), F.flatten(d["out"]).alias("out")))
+
+
+SPAN = "struct<kind:int,more:int,begin:int,end:int,match:string,before:string,after:string>"
+SCORED = SPAN[:-1] + ",base:boolean,p:double>"
+
+
+def found(text: Column, kind: str, more: bool, gated: bool = True) -> Column:
     """All matches of one generator: kind, more, begin, end, match, and the text before and after
-    (up to the neighbouring match, 24 characters at most)."""
+    (up to the neighbouring match, 24 characters at most). Texts that hold none of what NEEDS
+    names aren't searched if ``gated``."""
     pattern = (MORE if more else BASE)[kind]
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-    empty = F.array().cast("array<struct<kind:int,more:int,begin:int,end:int,match:string,before:string,after:string>>")
 
-    def add(state: Column, part: Column) -> Column:
-        begin = state["at"] + F.length(part["gap"])
+    def add(at: Column, part: Column) -> tuple[Column, Column]:
+        begin = at + F.length(part["gap"])
         end = begin + F.length(part["match"])
-        last = F.get(state["spans"], F.size(state["spans"]) - 1)
-        # The gap read now is what comes after the match before it.
-        known = F.when(F.size(state["spans"]) == 0, state["spans"]).otherwise(
-            F.concat(
-                F.slice(state["spans"], 1, F.greatest(F.size(state["spans"]) - 1, F.lit(0))),
-                F.array(last.withField("after", F.substring(part["gap"], 1, 24))),
-            )
-        )
         span = F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
             F.lit(int(more)).alias("more"),
@@ -171,15 +217,36 @@ def found(text: Column, kind: str, more: bool) -> Column:
             end.alias("end"),
             part["match"].alias("match"),
             F.substring(part["gap"], -24, 24).alias("before"),
-            F.lit("").alias("after"),
+            F.substring(part["next"], 1, 24).alias("after"),
         )
-        spans = F.when(part["match"].isNull(), known).otherwise(F.concat(known, F.array(span)))
-        return F.struct(F.coalesce(end, begin).alias("at"), spans.alias("spans"))
+        return end, F.array(span)
+
+    def spans_of(cut: Column) -> Column:
+        n = F.size(cut["match"])
+        parts = F.arrays_zip(F.slice(cut["gap"], 1, n).alias("gap"), cut["match"].alias("match"), F.slice(cut["gap"], 2, n).alias("next"))
+        return once(parts, lambda p: scan(p, F.lit(0), SPAN, add)["out"])
 
-    spans = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda s: s["spans"])
+    spans = once(F.struct(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match")), spans_of)
     needs = NEEDS.get(("more" if more else "base", kind))
-    possible = reduce(lambda a, b: a | b, (text.contains(n) for n in needs)) if needs else text.rlike("[0-9]")
-    return F.when(possible, spans).otherwise(empty)
+    possible = reduce(lambda a, b: a & b, (reduce(lambda a, b: a | b, (text.contains(n) for n in group)) for group in needs)) if needs else text.rlike("[0-9]")
+    return F.when(possible, spans).otherwise(F.array().cast(f"array<{SPAN}>")) if gated else spans
+
+
+def islands(spans: Column) -> Column:
+    """The spans by begin, in arrays that no span of another one overlaps."""
+    # A struct compares by its fields in order: begin comes first.
+    by_begin = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end"), s.alias("span"))))
+
+    def add(state: Column, s: Column) -> tuple[Column, Column]:
+        new = s["begin"] >= state["end"]
+        none = F.array().cast(f"array<{SCORED}>")
+        own = F.concat(F.when(new, none).otherwise(state["own"]), F.array(s["span"]))
+        closed = F.when(new & (F.size(state["own"]) > 0), F.array(state["own"])).otherwise(F.array().cast(f"array<array<{SCORED}>>"))
+        return F.struct(F.greatest(state["end"], s["end"]).alias("end"), own.alias("own")), closed
+
+    start = F.struct(F.lit(0).alias("end"), F.array().cast(f"array<{SCORED}>").alias("own"))
+    done = once(by_begin, lambda b: scan(b, start, f"array<{SCORED}>", add))
+    return once(done, lambda d: F.concat(d["out"], F.array(d["state"]["own"])))
 
 
 def is_base(span: Column) -> Column:
@@ -211,13 +278,14 @@ def features(span: Column) -> Column:
         match.startswith("+").cast("int"),
         match.rlike(r"[\[({]").cast("int"),
         (F.when(span["kind"] == 1, F.forall(octets, lambda p: F.coalesce(p.try_cast("int") <= 255, F.lit(False)))).otherwise(True)).cast("int"),
-        match.rlike(r"(?i)^[^@]* at .* dot |^[^@]*[\[({]at[\])}]").cast("int"),
+        # 1: "at" in brackets, or with the word "dot"; 2: the word "at" alone.
+        F.when(match.rlike(r"(?i)^[^@]* at .* dot |^[^@]*[\[({]at[\])}]"), 1).when(match.rlike(r"(?i)^[^@]* at "), 2).otherwise(0),
     )
     return F.struct(*(v.cast("double").alias(n) for n, v in zip(FEATURES, values, strict=True)))
 
 
-def candidates(text: Column) -> Column:
-    return F.concat(*(found(text, kind, more) for more in (False, True) for kind in KINDS))
+def candidates(text: Column, gated: bool = True) -> Column:
+    return F.concat(*(found(text, kind, more, gated) for more in (False, True) for kind in KINDS))
 
 
 class Boosted:
@@ -309,23 +377,24 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     """
     trees = trees or model(docs.sparkSession)
     rows = id_text(docs, key, text).withColumn("all", candidates(F.col("text")))
-    rows = rows.withColumn("base", F.filter("all", is_base))
     plain = ("kind", "begin", "end", "match")
-    scored = F.transform("all", lambda s: s.withField("p", trees.probability(features(s))))
-    rows = rows.withColumn("likely", F.when(F.size("all") == 0, F.array().cast("array<struct<kind:int,more:int,begin:int,end:int,match:string,before:string,after:string,p:double>>")).otherwise(scored))
-    free = F.filter("likely", lambda s: trees.selects(s, s["p"]) & ~F.exists("base", lambda b: (b["begin"] < s["end"]) & (s["begin"] < b["end"])))
-    rows = rows.withColumn("free", free)
-
-    def beaten(s: Column) -> Column:
-        return F.exists(
-            "free",
-            lambda o: (o["begin"] < s["end"])
-            & (s["begin"] < o["end"])
-            & ((o["p"] > s["p"]) | ((o["p"] == s["p"]) & (F.struct(o["begin"], o["kind"], o["end"]) < F.struct(s["begin"], s["kind"], s["end"])))),
-        )
-
-    added = F.array_distinct(F.transform(F.filter("free", lambda s: ~beaten(s)), lambda s: F.struct(*(s[n].alias(n) for n in plain))))
-    base = F.transform("base", lambda s: F.struct(*(s[n].alias(n) for n in plain)))
+    scored = F.transform("all", lambda s: s.withField("base", is_base(s)).withField("p", once(features(s), trees.probability)))
+    rows = rows.withColumn("likely", F.when(F.size("all") == 0, F.array().cast(f"array<{SCORED}>")).otherwise(scored))
+
+    def meets(a: Column, b: Column) -> Column:
+        return (a["begin"] < b["end"]) & (b["begin"] < a["end"])
+
+    def beats(o: Column, s: Column) -> Column:
+        first = F.struct(o["begin"], o["kind"], o["end"]) < F.struct(s["begin"], s["kind"], s["end"])
+        return meets(o, s) & ((o["p"] > s["p"]) | ((o["p"] == s["p"]) & first))
+
+    # Only spans of one island overlap, so they are compared within it.
+    chosen = F.filter("likely", lambda s: s["base"] | trees.selects(s, s["p"]))
+    free = F.transform(islands(chosen), lambda own: F.filter(own, lambda s: ~F.exists(own, lambda b: b["base"] & meets(b, s))))
+    rows = rows.withColumn("free", F.flatten(free))
+    left = F.transform(islands(F.col("free")), lambda own: F.filter(own, lambda s: ~F.exists(own, lambda o: beats(o, s))))
+    added = F.array_distinct(F.transform(F.flatten(left), lambda s: F.struct(*(s[n].alias(n) for n in plain))))
+    base = F.transform(F.filter("likely", lambda s: s["base"]), lambda s: F.struct(*(s[n].alias(n) for n in plain)))
     return rows.select("doc_id", "text", base.alias("base"), added.alias("added"))
 
 

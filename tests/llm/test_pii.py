@@ -89,6 +89,29 @@ def test_added_spans(spark, trees):
     assert out[1] == "call [phone] [card] now" and out[4] == texts[4][0] and out[2] == "mail [email] today"
 
 
+def test_no_candidate_hangs_on_other_text(spark, trees):
+    from pyspark.sql import functions as F
+
+    texts, _ = pii.labelled()
+    texts += ["jo @ example.com", "write to jo at example.com soon", "pat@example{dot}com", "a@b", "at .", "1(.)2(.)3(.)4", "::", "+", "@", "", "x at y dot z"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    both = rows.select(pii.candidates(F.col("text")).alias("gated"), pii.candidates(F.col("text"), gated=False).alias("every"))
+    assert both.where("gated <> every").count() == 0
+    alone = {"jo @ example.com": 1, "write to jo at example.com soon": 1, "pat@example{dot}com": 1, "look at example.com now": 0, "We arrived at 10.30 or so": 0}
+    docs = spark.createDataFrame(list(enumerate(alone)), "doc_id long, text string")
+    assert [len(r.added) for r in pii.find_spans(docs, trees=trees).orderBy("doc_id").collect()] == list(alone.values())
+
+
+def test_many_numbers_in_one_text(spark, trees):
+    texts = [", ".join(str(10**14 + i * 7919 % 1_000_003) for i in range(40_000)), "call (212) 555-0147, " * 2_000, "4539578763621486; " * 2_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.base, r.added) for r in pii.find_spans(docs, trees=trees).collect()}
+    for i, text in enumerate(texts):
+        assert [(s.begin, s.kind, s.end) for s in found[i][0]] == base(text)
+        assert all(text[s.begin : s.end] == s.match for s in found[i][1])
+    assert len(found[1][1]) == 2_000 and len(found[2][0]) == 2_000
+
+
 def test_compiled_trees_say_what_the_trees_say(spark, trees):
     from pyspark.sql import functions as F
 
