@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -74,9 +74,19 @@ def fit(points: DataFrame, k: int, starts: int = 1, iterations: int = ITERATIONS
     return best[np.isfinite(best).all(axis=1)]
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once a row, also where ``use`` names it often or inside functions of arrays."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def nearest(unit: Column, centres: np.ndarray) -> Column:
     """(at, distance) of the nearest centre, the first of equal ones; stays on the JVM."""
     table = F.array(*(F.lit(c) for c in centres))
-    gaps = F.transform(table, lambda c: F.aggregate(F.zip_with(unit, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    least = F.array_min(gaps)
-    return F.struct((F.array_position(gaps, least) - 1).cast("int").alias("at"), F.sqrt(least).alias("distance"))
+
+    def gaps(u: Column) -> Column:
+        return F.transform(table, lambda c: F.aggregate(F.zip_with(u, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+
+    def first(found: Column, least: Column) -> Column:
+        return F.struct((F.array_position(found, least) - 1).cast("int").alias("at"), F.sqrt(least).alias("distance"))
+
+    return bound(unit, lambda u: bound(gaps(u), lambda g: bound(F.array_min(g), lambda least: first(g, least))))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reelmetrics.operators import kmeans
 from reelmetrics.operators.dedup import top_per_key
 from reelmetrics.operators.density import density_clusters
-from reelmetrics.operators.keyphrases import exploded, phrases, tokens
+from reelmetrics.operators.keyphrases import term_counts, tokens
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.session import shared_folder
 
@@ -21,13 +21,15 @@ EMPTY_NAME = "Topic"
 SEED = 42
 RESTARTS = 10
 TITLE_WORDS = 3
+# Texts whose terms one task counts.
+PART_TEXTS = 2000
 
 
 def _unit(vector_column: str) -> Column:
     """The vector at length one; a vector of length zero stays zero."""
     v = F.col(vector_column)
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    return F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm), F.lit(0.0)))
+    return kmeans.bound(norm, lambda n: F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), n), F.lit(0.0))))
 
 
 def choose_k(df: DataFrame, vector_column: str, candidates: tuple[int, ...]) -> int:
@@ -90,15 +92,18 @@ def topic_terms(
     terms per topic and f the term's frequency over all topics.
     """
     words = tokens(F.coalesce(text_column, F.lit("")), stop_words)
-    texts = docs.where(F.col("topic_id") != NOISE_TOPIC).select("topic_id", text_column)
-    terms = exploded(texts, phrases(words), "term", ["topic_id"])
+    texts = docs.where(F.col("topic_id") != NOISE_TOPIC).select("topic_id", words.alias("_w"))
     shared_folder(docs.sparkSession)
-    # Counts are far smaller than the texts and serve three uses; texts are read once.
-    tf = terms.groupBy("topic_id", "term").agg(F.count("*").alias("tf")).checkpoint()
-    freq = tf.groupBy("term").agg(F.sum("tf").alias("f"))
+    # Parts by the number of texts, so that what a task counts does not grow with the data; by the
+    # term, so that the frequencies over all topics need no other exchange.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // PART_TEXTS))
+    dealt = term_counts(texts, "topic_id").repartition(parts, "term")
+    # Counts are far smaller than the texts and serve two uses; texts are read once.
+    counts = dealt.groupBy("topic_id", "term").agg(F.sum("tf").alias("tf"))
+    tf = counts.withColumn("f", F.sum("tf").over(Window.partitionBy("term"))).checkpoint()
     mean = tf.agg((F.sum("tf") / F.count_distinct("topic_id")).alias("a")).first()["a"] or 0.0
     weight = F.round(F.col("tf") * F.ln(F.lit(1.0) + F.lit(float(mean)) / F.col("f")), digits)
-    ranked = tf.join(freq, "term").withColumn("_r", weight)
+    ranked = tf.withColumn("_r", weight)
     best = top_per_key(ranked, ["topic_id"], [F.desc("_r"), F.asc("term")])
     names = best.select("topic_id", F.col("term").alias("topic_repr"))
     topics = docs.select("topic_id").distinct()
@@ -123,5 +128,9 @@ def title_representatives(df: DataFrame, title_column: str = "title", order: str
 
 
 def with_representatives(df: DataFrame, names: DataFrame, id_column: str) -> DataFrame:
-    """Rows with the name of their topic; one topic may hold most of the rows."""
-    return lookup_join(df, names, "topic_id", spread=[id_column])
+    """Rows with the name of their topic; one topic may hold most of the rows.
+
+    Names, one row a topic, are written first, so that they are found once.
+    """
+    shared_folder(df.sparkSession)
+    return lookup_join(df, names.checkpoint(), "topic_id", spread=[id_column])

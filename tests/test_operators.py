@@ -15,7 +15,7 @@ from reelmetrics.operators import topics
 from reelmetrics.operators.enrich import enrich_with_comments
 from reelmetrics.operators.filters import select_values
 from reelmetrics.operators.joins import join_new_columns, pending
-from reelmetrics.operators.keyphrases import keyphrases, rerank
+from reelmetrics.operators.keyphrases import keyphrases, rerank, term_counts
 from reelmetrics.operators.scoring import embedding, sentiment_scores
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.functions.sentiment import sentiment
@@ -196,6 +196,15 @@ def test_stop_words_and_rerank(spark):
     assert out.first()["keywords"] == "dog; cat"
 
 
+def test_topic_steps_work_out_values_once(spark):
+    """The norm, the distances and their least are found once a row, and terms are summed before they are dealt out."""
+    df = spark.createDataFrame([(i, [1.0, float(i % 2)]) for i in range(6)], "videoId int, vec array<double>")
+    text = topics.assign_topics(df, "vec", 2, max_distance=0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("aggregate(") == 2
+    texts = spark.createDataFrame([(7, ["a", "b"]), (7, ["a", "b"]), (8, ["b"]), (8, [])], "topic_id int, _w array<string>").coalesce(1)
+    assert sorted(map(tuple, term_counts(texts, "topic_id").collect())) == [(7, "a", 2), (7, "a b", 2), (7, "b", 2), (8, "b", 1)]
+
+
 def test_topics(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in np.eye(3)[i % 2] + rng.normal(0, 0.01, 3)], f"t{i % 2} word{i}") for i in range(40)]
