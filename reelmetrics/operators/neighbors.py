@@ -36,6 +36,10 @@ MIN_GROUP = 2
 
 BLOCK_ROWS = 1024
 BANDS = 16
+SLICE_ROWS = 512  # rows whose products are held at once
+# Blocks grow with the rows up to a size that one task compares with ease: so many blocks bound how
+# often a row is sent, and what is sent grows with the rows.
+MOST_BLOCKS, LARGEST_BLOCK = 64, 16_384
 
 MEMBER = "vkey string, n bigint, unit array<float>, cell bigint, sig array<bigint>"
 
@@ -76,11 +80,23 @@ def _new_in_band(cell: int, a: np.ndarray, b: np.ndarray) -> np.ndarray | bool:
     return fresh
 
 
-def _close(cell: int, queries: pd.DataFrame, data: pd.DataFrame, threshold: float) -> np.ndarray:
-    close = matrix(queries["unit"]) @ matrix(data["unit"]).T >= np.float32(threshold)
-    if queries["sig"].iloc[0] is not None and cell >> 32:
-        close &= _new_in_band(cell, np.stack(queries["sig"]), np.stack(data["sig"]))
-    return close
+def _degrees(cell: int, queries: pd.DataFrame, data: pd.DataFrame, threshold: float) -> np.ndarray:
+    """How many rows of ``data``, copies counted and themselves aside, each query is close to; some queries at a time."""
+    q, d, n = matrix(queries["unit"]), matrix(data["unit"]).T, data["n"].to_numpy(np.int64)
+    banded = queries["sig"].iloc[0] is not None and cell >> 32
+    one, other = (np.stack(queries["sig"]), np.stack(data["sig"])) if banded else (None, None)
+    place = {k: i for i, k in enumerate(data["vkey"])}
+    own = np.array([place.get(k, -1) for k in queries["vkey"]])
+    single, degree = bool((n == 1).all()), np.zeros(len(q), np.int64)
+    for i in range(0, len(q), SLICE_ROWS):
+        part = slice(i, i + SLICE_ROWS)
+        close = q[part] @ d >= np.float32(threshold)
+        if banded:
+            close &= _new_in_band(cell, one[part], other)
+        here = np.flatnonzero(own[part] >= 0)
+        close[here, own[part][here]] = False
+        degree[part] = np.count_nonzero(close, axis=1) if single else close @ n
+    return degree
 
 
 def _plus(df: DataFrame, name: str) -> StructType:
@@ -95,9 +111,7 @@ def _inside_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
     """Rows with the number of neighbours inside their own block, themselves aside."""
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        close = _close(int(key[0]), rows, rows, threshold)
-        np.fill_diagonal(close, False)
-        return rows.assign(degree=close @ rows["n"].to_numpy(np.int64))
+        return rows.assign(degree=_degrees(int(key[0]), rows, rows, threshold))
 
     return blocks.groupBy("cell", "sub").applyInPandas(count, _plus(blocks, "degree"))
 
@@ -108,10 +122,7 @@ def _across_blocks(queries: DataFrame, data: DataFrame, threshold: float) -> Dat
     def count(key: tuple, q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(d):
             return pd.DataFrame({"vkey": [], "degree": []}).astype({"vkey": str, "degree": np.int64})
-        close = _close(int(key[1]), q, d, threshold) & (
-            q["vkey"].to_numpy()[:, None] != d["vkey"].to_numpy()[None, :]
-        )
-        degree = close @ d["n"].to_numpy(np.int64)
+        degree = _degrees(int(key[1]), q, d, threshold)
         return pd.DataFrame({"vkey": q["vkey"], "degree": degree})[degree > 0]
 
     keys = ["chunk", "t_cell", "t_sub"]
@@ -161,6 +172,10 @@ def tree_blocks(distinct: DataFrame, block_rows: int, pivots: int | None = None)
     return blocks.select("vkey", "n", "unit", F.col("node").alias("cell"), "sub"), tree
 
 
+def wide_blocks(total: int, block_rows: int) -> int:
+    return max(block_rows, min(LARGEST_BLOCK, math.ceil(total / MOST_BLOCKS)))
+
+
 def _one_block(tree: Tree) -> bool:
     return tree.levels == 1 and len(tree.top) <= 1
 
@@ -213,6 +228,7 @@ def near_duplicates(
     keyed = keyed_vectors(df, id_column, vector_column)
     distinct = distinct_vectors(keyed)
     if mode == "exact":
+        block_rows = wide_blocks(distinct.count(), block_rows)
         grown = tree_blocks(distinct, block_rows, pivots)
         if grown is None:
             return df.select(id_column).limit(0)

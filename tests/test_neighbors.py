@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from reelmetrics.operators.neighbors import lsh_bits, near_duplicates
+from reelmetrics.operators import neighbors
+from reelmetrics.operators.neighbors import lsh_bits, near_duplicates, wide_blocks
 
 
 def brute(vectors, threshold, min_group):
@@ -62,3 +63,12 @@ def test_empty_and_null_vectors(spark):
     assert ids(near_duplicates(table(spark, []), "id", "vec")) == set()
     df = spark.createDataFrame([(1, None), (2, [1.0, 0.0]), (3, [1.0, 0.01])], "id long, vec array<float>")
     assert ids(near_duplicates(df, "id", "vec")) == {2, 3}
+
+
+def test_blocks_bound_how_often_a_row_is_sent(spark, monkeypatch):
+    """Blocks grow with the rows, up to a size; products of a few rows at a time lose no neighbour."""
+    assert wide_blocks(2_000, 256) == 256 and wide_blocks(640_000, 256) == 10_000 and wide_blocks(10**9, 256) == neighbors.LARGEST_BLOCK
+    monkeypatch.setattr(neighbors, "MOST_BLOCKS", 4)
+    monkeypatch.setattr(neighbors, "SLICE_ROWS", 7)
+    vectors = crowd(11)
+    assert ids(near_duplicates(table(spark, vectors), "id", "vec", 0.8, 4, block_rows=8)) == brute(vectors, 0.8, 4)
