@@ -15,7 +15,7 @@ from reelmetrics.operators import topics
 from reelmetrics.operators.enrich import enrich_with_comments
 from reelmetrics.operators.filters import select_values
 from reelmetrics.operators.joins import join_new_columns, pending
-from reelmetrics.operators.keyphrases import keyphrases, rerank, term_counts
+from reelmetrics.operators.keyphrases import contenders, frequent, keyphrases, rerank, term_counts
 from reelmetrics.operators.scoring import embedding, sentiment_scores
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.functions.sentiment import sentiment
@@ -196,6 +196,16 @@ def test_stop_words_and_rerank(spark):
     assert out.first()["keywords"] == "dog; cat"
 
 
+def test_phrases_that_cannot_win_are_dropped_before_the_join(spark):
+    spread = spark.createDataFrame([("the", 90), ("of", 80), ("car", 3), ("red", 2)], "phrase string, df long")
+    names, df, rest = frequent(spread, 2)
+    assert dict(zip(names.to_pylist(), df.tolist())) == {"the": 90, "of": 80} and rest == 3
+    assert frequent(spread, 9)[2] == 1 and frequent(spread, 0)[2] == 90
+    listed = spark.createDataFrame([(1, ["the", "of", "car", "red", "x"], [5, 1, 4, 4, 1])], "id int, said array<string>, n array<bigint>").coalesce(1)
+    got = contenders(listed, (names, df, rest), 100, 2).collect()
+    assert sorted(map(tuple, got)) == [(1, "car", 4, None), (1, "red", 4, None)]
+
+
 def test_topic_steps_work_out_values_once(spark):
     """The norm, the distances and their least are found once a row, and terms are summed before they are dealt out."""
     df = spark.createDataFrame([(i, [1.0, float(i % 2)]) for i in range(6)], "videoId int, vec array<double>")
