@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -30,11 +31,20 @@ def with_top_comment(videos: DataFrame, comments: DataFrame) -> DataFrame:
     return videos.join(top_comment(comments), "videoId", "left")
 
 
-def with_brands(videos: DataFrame, brands: DataFrame, order: str = "videoId") -> DataFrame:
-    """Brand columns by video; of several brand rows the first by ``order`` counts."""
+def with_brands(videos: DataFrame, brands: DataFrame, order: str = "videoId", part_rows: int | None = None) -> DataFrame:
+    """Brand columns by video; of several brand rows the first by ``order`` counts.
+
+    With ``part_rows`` the videos are counted and dealt out by id, about so many to a task, for later
+    steps that hold something of every video of their part.
+    """
     keep = ["videoId", *[c for c in BRAND_COLUMNS if c in brands.columns]]
-    one = keep_first(brands.select(*dict.fromkeys([*keep, order])), ["videoId"], [F.asc(order)])
-    return videos.join(one.select(*keep), "videoId", "left")
+    one = keep_first(brands.select(*dict.fromkeys([*keep, order])), ["videoId"], [F.asc(order)]).select(*keep)
+    if part_rows is not None:
+        rows, cores = videos.count(), videos.sparkSession.sparkContext.defaultParallelism
+        # Few rows are dealt to smaller parts, so that all cores have one.
+        parts = max(1, math.ceil(rows / part_rows), min(cores, math.ceil(16 * rows / part_rows)))
+        videos, one = (df.repartition(parts, "videoId") for df in (videos, one))
+    return videos.join(one, "videoId", "left")
 
 
 def join_new_columns(base: DataFrame, parts: list[DataFrame], on: str = "videoId", order: str | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ NUMBER_COLUMNS = [
     "viewCount", "likeCount", "commentCount", "dislikeCount", "subscriberCount", "channelVideoCount",
     "channelViewCount", "sent_value", "topc_likes", "topc_conf", "topc_value", "brand_conf",
 ]
+PART_ROWS = 1 << 19  # videos whose distinct ids one task of the exports counts
 NAMED_COLUMNS = ["brand_primary", "sent_label", "topc_label", "channelTitle", "model_hint"]
 
 
@@ -79,10 +80,14 @@ class BiExport:
 
 
 def bi_export(base: DataFrame, brands: DataFrame | None = None, order: str = "videoId") -> BiExport:
-    """Channel aggregate, brand aggregate and the fact table of fixed columns."""
-    df = numeric_columns(base, ["viewCount", "sent_value", "topc_value"])
+    """Channel aggregate, brand aggregate and the fact table of fixed columns.
+
+    Both aggregates count distinct videos where these meet their brands, in parts whose number grows
+    with the rows of ``base``; these are counted here.
+    """
+    df = dealt = numeric_columns(base, ["viewCount", "sent_value", "topc_value"])
     if brands is not None:
-        df = with_brands(df, brands, order)
+        df, dealt = with_brands(df, brands, order), with_brands(df, brands, order, PART_ROWS)
     return BiExport(
-        channel_aggregate(df, "channelTitle", median=False), brand_aggregate(df), present_columns(df, BI_FACT_COLUMNS)
+        channel_aggregate(dealt, "channelTitle", median=False), brand_aggregate(dealt), present_columns(df, BI_FACT_COLUMNS)
     )

@@ -6,6 +6,7 @@ import pytest
 
 import catalog
 from reelmetrics.operators.keyphrases import _few_splits, phrase_counts
+from reelmetrics.plans import reports
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -67,3 +68,18 @@ def test_top_k_needs_no_global_sort(spark):
 def test_registry():
     assert set(catalog.ORACLE) <= set(catalog.QUERIES)
     assert set(catalog.QUERIES) == set(catalog.ORACLE)
+
+
+def test_exports_count_videos_in_parts_that_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(reports, "PART_ROWS", 100, raising=False)
+    base = spark.range(2_000).selectExpr("id % 1500 as videoId", "concat('c', id % 7) as channelTitle", "cast(id as double) as viewCount", "if(id % 3 = 0, null, 0.5) as sent_value")
+    base = base.unionByName(spark.range(3).selectExpr("cast(null as bigint) as videoId", "'none' as channelTitle", "1.0 as viewCount", "null as sent_value"))
+    brands = spark.range(1_500).selectExpr("id as videoId", "concat('b', id % 3) as brand_primary")
+    out = reports.bi_export(base, brands.unionByName(brands))
+    for found, key, groups, pairs in ((out.channels, "channelTitle", 8, 2_000), (out.brands, "brand_primary", 4, 1_500)):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"Exchange hashpartitioning\(videoId#\d+L, 2\d+\), REPARTITION_BY_NUM", text), text
+        rows = {r[key]: r for r in found.collect()}
+        assert len(rows) == groups and sum(r["videos"] for r in rows.values()) == pairs
+        assert sum(r["views_total"] for r in rows.values()) == sum(range(2_000)) + 3
+    assert out.facts.count() == 2_003
