@@ -6,8 +6,9 @@ a core row to that row's cluster, and all others are noise. Rows need no number
 clusters can have any shape.
 
 Neighbours are counted in the blocks of the metric tree. Links between core rows are not listed: a
-block names the groups its core rows form, two blocks that are in reach of each other name which of
-their groups touch, and connected components are found over these groups.
+block names the groups its core rows form, two blocks that are in reach of each other meet once and
+name which of their groups touch, and connected components are found over these groups. Blocks grow
+with the rows, so that a row is sent a bounded number of times.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from reelmetrics.operators.components import components
-from reelmetrics.operators.neighbors import BLOCK_ROWS, degrees_in_tree, distinct_vectors, keyed_vectors, tree_blocks, tree_visits
+from reelmetrics.operators.neighbors import BLOCK_ROWS, SLICE_ROWS, degrees_in_tree, distinct_vectors, keyed_vectors, tree_blocks, tree_visits, wide_blocks
 from reelmetrics.operators.metric_tree import matrix
 from reelmetrics.operators.skew import lookup_join
 from reelmetrics.session import shared_folder
@@ -38,6 +39,48 @@ def groups_of(close: np.ndarray) -> np.ndarray:
         label = low
 
 
+def linked_groups(x: np.ndarray, threshold: float) -> np.ndarray:
+    """For each unit row the smallest row it reaches over close rows; products of some rows at a time."""
+    label, diagonal = np.arange(len(x)), np.arange(SLICE_ROWS)
+    for i in range(0, len(x), SLICE_ROWS):
+        close = x[i : i + SLICE_ROWS] @ x[i:].T >= np.float32(threshold)
+        close[diagonal[: len(close)], diagonal[: len(close)]] = True
+        names, code = np.unique(label[i:], return_inverse=True)
+        reached = _by_group(close, code, len(names))
+        # Rows of the slice that reach a group together are one, and so are all groups they reach.
+        shared = reached[:, np.count_nonzero(reached, axis=0) > 1].astype(np.float32)
+        together = groups_of(shared @ shared.T > 0)
+        low = np.full(len(close), len(x))
+        np.minimum.at(low, together, names[reached.argmax(axis=1)])
+        to = np.arange(len(x))
+        to[names] = np.where(reached.any(axis=0), low[together[reached.argmax(axis=0)]], names)
+        label = to[label]
+    return label
+
+
+def _by_group(close: np.ndarray, code: np.ndarray, groups: int) -> np.ndarray:
+    """Which of the groups 0, 1, ... of its columns each row of a matrix of links has one with."""
+    order = np.argsort(code, kind="stable")
+    return np.logical_or.reduceat(close[:, order], np.searchsorted(code[order], np.arange(groups)), axis=1)
+
+
+def _touched(rows: pd.DataFrame, cores: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """``TOUCH`` for each of the rows and the groups of core rows it is close to; some rows at a time."""
+    found = [pd.DataFrame({"vkey": [], "core": [], "grp": [], "t_grp": []}).astype({"vkey": object, "core": bool, "grp": object, "t_grp": object})]
+    if not len(rows) or not len(cores):
+        return found[0]
+    code, names = pd.factorize(cores["grp"])
+    order = np.argsort(code, kind="stable")
+    x, y = matrix(rows["unit"]), matrix(cores["unit"].iloc[order]).T
+    starts = np.searchsorted(code[order], np.arange(len(names)))
+    for i in range(0, len(x), SLICE_ROWS):
+        row, group = np.nonzero(np.logical_or.reduceat(x[i : i + SLICE_ROWS] @ y >= np.float32(threshold), starts, axis=1))
+        part = rows[["vkey", "core", "grp"]].iloc[i + row].assign(t_grp=np.asarray(names)[group])
+        part.loc[part["core"], "vkey"] = None
+        found.append(part.drop_duplicates())
+    return pd.concat(found).drop_duplicates()
+
+
 def _grouped(blocks: DataFrame, threshold: float) -> DataFrame:
     """Rows of blocks with ``grp``, the first key of the group that a core row is in inside its block."""
 
@@ -46,8 +89,7 @@ def _grouped(blocks: DataFrame, threshold: float) -> DataFrame:
         core = np.flatnonzero(rows["core"].to_numpy())
         grp = np.full(len(rows), None, object)
         if len(core):
-            x = matrix(rows["unit"].iloc[core])
-            grp[core] = rows["vkey"].to_numpy()[core[groups_of(x @ x.T >= np.float32(threshold))]]
+            grp[core] = rows["vkey"].to_numpy()[core[linked_groups(matrix(rows["unit"].iloc[core]), threshold)]]
         return rows.assign(grp=grp)
 
     schema = blocks.withColumn("grp", F.lit(None).cast("string")).schema
@@ -55,20 +97,20 @@ def _grouped(blocks: DataFrame, threshold: float) -> DataFrame:
 
 
 def _touching(queries: DataFrame, data: DataFrame, threshold: float) -> DataFrame:
-    """Which groups touch: between core rows one row a pair of groups, for other rows one a group beside them."""
+    """Which groups touch: between core rows one row a pair of groups, for other rows one a group beside them.
+
+    Each pair of blocks is visited once, so rows of both sides that are no cores are looked up here.
+    """
     keys = ["chunk", "t_cell", "t_sub"]
 
     def find(key: tuple, q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"vkey": [], "core": [], "grp": [], "t_grp": []}).astype({"vkey": str, "core": bool, "grp": str, "t_grp": str})
-        if not len(q) or not len(d):
-            return out
-        row, col = np.nonzero(matrix(q["unit"]) @ matrix(d["unit"]).T >= np.float32(threshold))
-        found = pd.DataFrame({"vkey": q["vkey"].to_numpy()[row], "core": q["core"].to_numpy()[row], "grp": q["grp"].to_numpy()[row], "t_grp": d["grp"].to_numpy()[col]})
-        found.loc[found["core"], "vkey"] = None
-        return found.drop_duplicates()
+        q_core, d_core = q["core"].to_numpy(bool), d["core"].to_numpy(bool)
+        if key[0] == f"{key[1]}:{key[2]}":  # the own block, whose core rows are grouped
+            return _touched(q[~q_core], d[d_core], threshold)
+        return pd.concat([_touched(q, d[d_core], threshold), _touched(d[~d_core], q[q_core], threshold)])
 
     visits = queries.select(*[F.col(k).alias(k) for k in keys]).distinct()
-    names = {"cell": "t_cell", "sub": "t_sub", "unit": "unit", "grp": "grp"}
+    names = {"cell": "t_cell", "sub": "t_sub", "vkey": "vkey", "unit": "unit", "core": "core", "grp": "grp"}
     shipped = data.select(*[F.col(c).alias(name) for c, name in names.items()]).join(visits, ["t_cell", "t_sub"])
     return queries.groupBy(*keys).cogroup(shipped.groupBy(*keys)).applyInPandas(find, TOUCH)
 
@@ -82,6 +124,7 @@ def density_clusters(df: DataFrame, id_column: str, vector_column: str, threshol
     shared_folder(df.sparkSession)
     keyed = keyed_vectors(df, id_column, vector_column)
     distinct = distinct_vectors(keyed)
+    block_rows = wide_blocks(distinct.count(), block_rows)
     grown = tree_blocks(distinct, block_rows, pivots)
     if grown is None:
         return keyed.select(F.col("id").alias(id_column), F.lit(NOISE).cast("bigint").alias("cluster_id"))
@@ -90,8 +133,8 @@ def density_clusters(df: DataFrame, id_column: str, vector_column: str, threshol
     cores = degrees.select("vkey", (F.col("degree") + F.col("n") >= min_points).alias("core"))
     rows = _grouped(blocks.join(cores, "vkey"), threshold).checkpoint()
     with_core = rows.where("core")
-    aimed = tree_visits(rows.select("vkey", "unit", "core", "grp", "cell", "sub"), tree, threshold, block_rows, True)
-    touch = _touching(aimed, with_core, threshold).checkpoint()
+    sides = rows.select("vkey", "unit", "core", "grp", "cell", "sub")
+    touch = _touching(tree_visits(sides, tree, threshold, block_rows, True, once=True), sides, threshold).checkpoint()
 
     # Groups are named by vectors; components run over the smallest id of each vector's rows.
     names = distinct.select("vkey", "low")

@@ -133,10 +133,11 @@ def _across_blocks(queries: DataFrame, data: DataFrame, threshold: float) -> Dat
     return found.groupBy("vkey").agg(F.sum("degree").alias("degree"))
 
 
-def _aimed(rows: DataFrame, tree: Tree, threshold: float) -> DataFrame:
-    """Each row once per cell (``t_cell``) that may hold a neighbour of it."""
+def _aimed(rows: DataFrame, tree: Tree, threshold: float, once: bool = False) -> DataFrame:
+    """Each row once per cell (``t_cell``) that may hold a neighbour of it; with ``once`` not to cells before its own."""
     reach = math.acos(threshold)
     near = leaves_in_reach(tree, reach, rows.select(F.col("cell").alias("node")).distinct())
+    near = near.where("a <= b") if once else near
     cells = tree.nodes.where("leaf").select(F.col("node").alias("b"), "centre", "radius", F.col("rows").alias("t_rows"))
     targets = near.join(cells, "b").select(F.col("a").alias("cell"), F.col("b").alias("t_cell"), "centre", "radius", "t_rows")
 
@@ -185,11 +186,16 @@ def _subs(rows: Column, block_rows: int) -> Column:
     return F.when(rows > LEAF_BLOCKS * block_rows, F.ceil(rows / block_rows)).otherwise(1).cast("bigint")
 
 
-def tree_visits(rows: DataFrame, tree: Tree, threshold: float, block_rows: int, own_block: bool) -> DataFrame:
-    """Rows once per block to compare with, named by the block they come from (``chunk``)."""
-    aimed = _aimed(rows, tree, threshold).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), _subs(F.col("t_rows"), block_rows) - 1)))
+def tree_visits(rows: DataFrame, tree: Tree, threshold: float, block_rows: int, own_block: bool, once: bool = False) -> DataFrame:
+    """Rows once per block to compare with, named by the block they come from (``chunk``).
+
+    With ``once`` each pair of blocks is visited from one side alone.
+    """
+    aimed = _aimed(rows, tree, threshold, once).withColumn("t_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), _subs(F.col("t_rows"), block_rows) - 1)))
     if not own_block:
         aimed = aimed.where((F.col("t_cell") != F.col("cell")) | (F.col("t_sub") != F.col("sub")))
+    if once:
+        aimed = aimed.where((F.col("t_cell") > F.col("cell")) | (F.col("t_sub") >= F.col("sub")))
     return aimed.withColumn("chunk", F.concat_ws(":", "cell", "sub")).drop("cell", "sub", "t_rows")
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from reelmetrics.operators import metric_tree
+from reelmetrics.operators import density, metric_tree, neighbors
 from reelmetrics.operators.components import components
 from reelmetrics.operators.density import density_clusters, groups_of
 from reelmetrics.operators.metric_tree import grow, leaves_in_reach
@@ -51,6 +51,36 @@ def test_clusters_match_brute_force(spark, monkeypatch, threshold, min_points, b
     assert got == brute(vectors, threshold, min_points)
 
 
+def test_rows_are_sent_a_bounded_number_of_times(spark, monkeypatch):
+    """Blocks grow with the rows and each pair of them meets once, in slices of few rows."""
+    monkeypatch.setattr(metric_tree, "FAN", 4)
+    monkeypatch.setattr(neighbors, "MOST_BLOCKS", 4)
+    monkeypatch.setattr(density, "SLICE_ROWS", 7, raising=False)
+    sent, touching = [], density._touching
+
+    def counted(queries, data, threshold):
+        pairs = [(r["chunk"], f"{r['t_cell']}:{r['t_sub']}") for r in queries.select("chunk", "t_cell", "t_sub").distinct().collect()]
+        sent.append((queries.count(), sum((b, a) in pairs for a, b in pairs if a != b)))
+        return touching(queries, data, threshold)
+
+    monkeypatch.setattr(density, "_touching", counted)
+    vectors = crowd(5)
+    # A threshold that keeps everything in reach, one with many groups, and one with more noise than core rows.
+    for threshold, min_points in ((0.1, 3), (0.6, 4), (0.97, 12)):
+        got = {r["id"]: r["cluster_id"] for r in density_clusters(table(spark, vectors), "id", "vec", threshold, min_points, 4, 4).collect()}
+        assert got == brute(vectors, threshold, min_points)
+        rows, both_ways = sent.pop()
+        assert rows <= 8 * len(vectors) and not both_ways
+
+
+@pytest.mark.parametrize("n, dim, threshold", [(0, 4, 0.5), (1, 4, 0.5), (300, 4, 0.97), (300, 3, 0.995), (300, 8, 0.3)])
+def test_linked_groups_match_the_whole_matrix(monkeypatch, n, dim, threshold):
+    monkeypatch.setattr(density, "SLICE_ROWS", 16, raising=False)
+    x = np.random.default_rng(n + dim).standard_normal((n, dim)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert density.linked_groups(x, threshold).tolist() == groups_of(x @ x.T >= np.float32(threshold)).tolist()
+
+
 def test_no_vectors_and_nulls(spark):
     none = spark.createDataFrame([], "id long, vec array<float>")
     assert density_clusters(none, "id", "vec", 0.9, 2).collect() == []
