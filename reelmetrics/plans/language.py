@@ -22,11 +22,11 @@ def language_table(
 ) -> DataFrame:
     """Inner join to transcripts, then text_short, keywords and the three sentiment columns."""
     joined = numeric_columns(with_transcripts(videos, transcripts), ["viewCount"])
-    df = joined.withColumn("text", F.coalesce("text", F.lit(""))).withColumn(
-        "text_short", truncate(F.col("text"), chars)
-    )
-    words = keyphrases(df.select("videoId", "text_short"), "videoId", "text_short", stop_words=stop_words)
-    scored = df.join(words, "videoId", "left").withColumn("_s", sentiment_of(F.col("text_short")))
+    df = joined.withColumn("text", F.coalesce("text", F.lit("")))
+    short = truncate(F.col("text"), chars)
+    words = keyphrases(df.select("videoId", short.alias("text_short")), "videoId", "text_short", stop_words=stop_words)
+    # Sorted with its text once: the rest, and the model, come after the sort.
+    ordered = by_views(df.join(words, "videoId", "left")).withColumn("text_short", short)
+    scored = ordered.withColumn("_s", sentiment_of(F.col("text_short")))
     parts = {"label": "sent_label", "conf": "sent_conf", "value": "sent_value"}
-    out = scored.select(*df.columns, "keywords", *[F.col(f"_s.{p}").alias(n) for p, n in parts.items()])
-    return by_views(out)
+    return scored.select(*dict.fromkeys([*df.columns, "text_short"]), "keywords", *[F.col(f"_s.{p}").alias(n) for p, n in parts.items()])
